@@ -1,7 +1,7 @@
 """Column functions: every one takes and returns Column expressions, none is a Python UDF."""
 
 from .alleles import alt_alleles, bare_chrom, chrom_sort_keys
-from .info import info_flag, info_value, typed_info
+from .info import framed_info, info_flag, info_value, typed_info
 from .names import (
     base_name,
     default_parquet_name,
@@ -22,6 +22,7 @@ __all__ = [
     "base_name",
     "chrom_sort_keys",
     "default_parquet_name",
+    "framed_info",
     "gigabytes",
     "human_size",
     "info_flag",

@@ -1,8 +1,8 @@
 """Reading values out of a VCF INFO string such as ``DB;AF=0.1,0.2;AN=4``.
 
-Each requested key costs one substring search.  These are byte searches in generated code, without a
-regular expression or a map per row, and keys that nobody asks for cost nothing.  A key that occurs
-twice yields its last value.
+The functions take the string framed by ``framed_info``, ``;DB;AF=0.1,0.2;AN=4;``.  Each requested key
+then costs one byte search in generated code, without a regular expression or a map per row, and keys
+that nobody asks for cost nothing.  A key that occurs twice yields its last value.
 """
 
 from __future__ import annotations
@@ -14,31 +14,43 @@ from pyspark.sql import types as T
 from ..schema import InfoField, info_type
 
 
-def info_value(info: Column, key: str) -> Column:
-    """Raw text after ``key=`` up to the next ``;``; null when the key is absent."""
-    padded = F.concat(F.lit(";"), info)
-    marker = f";{key}="
-    value = F.substring_index(F.substring_index(padded, marker, -1), ";", 1)
-    return F.when(padded.contains(marker), value)
+def framed_info(info: str | Column) -> Column:
+    """The INFO string with a separator on both sides; null and ``.`` give one without keys."""
+    col = F.col(info) if isinstance(info, str) else info
+    return F.concat(F.lit(";"), F.coalesce(col, F.lit("")), F.lit(";"))
 
 
-def info_flag(info: Column, key: str) -> Column:
+def info_value(framed: str | Column, key: str) -> Column:
+    """Raw text after ``key=`` up to the next ``;``; empty when the key is absent.
+
+    Without the key the first cut leaves the whole string, whose text before the first ``;`` is empty.
+    """
+    return F.substring_index(F.substring_index(framed, f";{key}=", -1), ";", 1)
+
+
+def info_flag(framed: str | Column, key: str) -> Column:
     """True when the key is present, with or without a value."""
-    padded = F.concat(F.lit(";"), F.coalesce(info, F.lit("")), F.lit(";"))
-    return padded.contains(f";{key};") | padded.contains(f";{key}=")
+    col = F.col(framed) if isinstance(framed, str) else framed
+    return col.contains(f";{key};") | col.contains(f";{key}=")
 
 
-def typed_info(info: Column, field: InfoField) -> Column:
-    """The field converted to its declared type; ``.`` and unreadable numbers become null."""
+def typed_info(framed: str | Column, field: InfoField) -> Column:
+    """The field converted to its declared type; ``.``, nothing and unreadable numbers become null.
+
+    Missing values are sorted out before the cast: a failing ``try_cast`` raises inside, which costs more
+    than the rest of the row.
+    """
     target = info_type(field.number, field.type)
     if isinstance(target, T.BooleanType):
-        return info_flag(info, field.id)
-    value = F.nullif(info_value(info, field.id), F.lit("."))
+        return info_flag(framed, field.id)
+    value = _present(_present(info_value(framed, field.id), ""), ".")
     if isinstance(target, T.StringType):
         return value
     if isinstance(target, T.ArrayType):
-        items = F.split(value, ",")
-        if isinstance(target.elementType, T.StringType):
-            return F.transform(items, lambda x: F.nullif(x, F.lit(".")))
-        return items.try_cast(target)
+        items = F.transform(F.split(value, ","), lambda x: _present(_present(x, ""), "."))
+        return items if isinstance(target.elementType, T.StringType) else items.try_cast(target)
     return value.try_cast(target)
+
+
+def _present(value: Column, missing: str) -> Column:
+    return F.nullif(value, F.lit(missing))

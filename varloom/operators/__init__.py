@@ -19,7 +19,7 @@ from .manifest import (
     variant_types_present,
 )
 from .predicates import annotated_only, containing, head, matching, natural_order, of_type, on_chroms, region
-from .skew import KeyProfile, heavy_keys, profile_keys, salted_join
+from .skew import KeyProfile, heavy_keys, key_bytes, profile_keys, salted_join
 from .split import (
     distinct_values,
     expected_splits,
@@ -46,6 +46,7 @@ __all__ = [
     "explode_alt",
     "head",
     "heavy_keys",
+    "key_bytes",
     "last_by_name",
     "match_rate",
     "matching",

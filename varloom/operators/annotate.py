@@ -10,12 +10,15 @@ from pyspark.sql import types as T
 
 from ..functions import alt_alleles, bare_chrom
 from ..schema import KEYS
-from .skew import ROWS_PER_SLICE, heavy_keys, profile_keys, salted_join
+from .skew import ROWS_PER_SLICE, heavy_keys, key_bytes, profile_keys, salted_join
 
 #: Bounds under which the distinct keys of the left table are sent to every executor.
 SEMI_MAX_ROWS = 2_000_000
 SEMI_MAX_KEY_BYTES = 64 * 1024**2
 
+#: Reducing the reference pays when it is at least this many times as long as the left table.
+SEMI_MIN_RATIO = 4
+
 
 def suffix_collisions(left: DataFrame, reference: DataFrame, on: Sequence[str], suffix: str) -> DataFrame:
     """Rename non-key reference columns whose name is taken on the left, ignoring case."""
@@ -56,6 +59,7 @@ def annotate(
     strategy: str = "auto",
     skew: str | None = "auto",
     unique_reference: bool = False,
+    reference_rows: int | None = None,
     reference_schema: T.StructType | None = None,
     always_add_columns: bool = False,
     strip_chr_prefix: bool = False,
@@ -77,13 +81,15 @@ def annotate(
       read, and joins only those.  The reference is never shuffled.  Right for a sample against a
       reference dataset.
     * ``"direct"`` is one shuffle join, for left tables as large as the reference.
-    * ``"auto"`` measures the left keys and takes ``"semi"`` within ``SEMI_MAX_ROWS`` and
-      ``SEMI_MAX_KEY_BYTES``, otherwise ``"direct"``.
+    * ``"auto"`` takes ``"semi"`` for a left table within ``SEMI_MAX_ROWS`` and ``SEMI_MAX_KEY_BYTES``
+      and a reference ``SEMI_MIN_RATIO`` times as long, otherwise ``"direct"``.  ``reference_rows`` is
+      the length of the reference; without it the rows are counted.
 
     ``skew="auto"`` measures both sides for keys above ``rows_per_slice`` rows and spreads them;
     ``None`` leaves it to adaptive execution.  ``unique_reference=True`` states that no reference key
-    repeats, which saves measuring the reference.  Measuring runs one job per side that reads the key
-    columns.  A streaming left table is joined directly, without measuring.
+    repeats, which saves measuring the reference.  Measuring counts the rows, which reads no column of
+    a Parquet table, and then reads the key columns of a table that is long enough to have such a key.
+    A streaming left table is joined directly, without measuring.
 
     ``strip_chr_prefix`` and ``explode_alt`` change the left table to match references that write
     ``1`` for ``chr1`` or hold one row per alternate allele.
@@ -111,19 +117,26 @@ def annotate(
     if left.isStreaming or reference.isStreaming:
         return left.join(right, on, how).select(*columns)
 
-    measured = profile_keys(left, on, rows_per_slice) if skew or strategy == "auto" else None
+    rows = left.count() if skew or strategy == "auto" else None
     if strategy == "auto":
-        small = measured.rows <= SEMI_MAX_ROWS and measured.key_bytes <= SEMI_MAX_KEY_BYTES
-        strategy = "semi" if small else "direct"
+        strategy = "direct"
+        if rows <= SEMI_MAX_ROWS:
+            theirs = reference.count() if reference_rows is None else reference_rows
+            if theirs >= SEMI_MIN_RATIO * rows and key_bytes(left, on) <= SEMI_MAX_KEY_BYTES:
+                strategy = "semi"
     if strategy == "semi":
         right = semi_reduce(right, left, on)
 
     heavy, null_slices = None, 1
     if skew:
-        repeats = None if unique_reference else profile_keys(right, on, rows_per_slice)
-        heavy = heavy_keys(left, right, on, measured, repeats, rows_per_slice)
-        if how == "left":
-            null_slices = -(-measured.null_rows // rows_per_slice)
+        # A table of fewer rows than a slice has no heavy key.
+        mine = profile_keys(left, on, rows_per_slice) if rows > rows_per_slice else None
+        theirs = None
+        if not unique_reference and (strategy == "semi" or right.count() > rows_per_slice):
+            theirs = profile_keys(right, on, rows_per_slice)
+        heavy = heavy_keys(left, right, on, mine, theirs, rows_per_slice)
+        if how == "left" and mine is not None:
+            null_slices = -(-mine.null_rows // rows_per_slice)
     return salted_join(left, right, on, how, heavy, null_slices).select(*columns)
 
 

@@ -31,15 +31,14 @@ MAX_HEAVY = TRACKED_SHARE
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """Size of the key columns of one table and its heaviest keys.
+    """How the rows of a table spread over its keys.
 
     ``null_rows`` counts rows with a null in any key; they match nothing.  ``heavy`` holds 64-bit
-    hashes of the key.
+    hashes of the keys above the measured weight.
     """
 
     rows: int
     null_rows: int
-    key_bytes: int
     heavy: tuple[int, ...]
 
 
@@ -47,25 +46,30 @@ def _all_present(on: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in on])
 
 
-def profile_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> KeyProfile:
-    """Count rows and key bytes and find heavy keys, in one job that reads only the key columns."""
+def key_bytes(df: DataFrame, on: Sequence[str]) -> int:
+    """Bytes in the key columns: text by its length, anything else as eight."""
     text = [f.name for f in df.schema if f.name in on and isinstance(f.dataType, T.StringType)]
-    width = F.lit(8 * (len(on) - len(text)))
+    width = F.lit(8 * (len(on) - len(text))).cast("bigint")
     for c in text:
         width = width + F.coalesce(F.octet_length(c), F.lit(0))
-    keys = df.select(
-        F.when(_all_present(on), F.xxhash64(*on)).alias("hash"), width.cast("bigint").alias("width")
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
+def profile_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> KeyProfile:
+    """Count rows and find keys above ``rows_per_slice``, in one job that reads only the key columns."""
+    row = (
+        df.select(F.when(_all_present(on), F.xxhash64(*on)).alias("hash"))
+        .agg(
+            F.count("*").alias("rows"),
+            F.count_if(F.col("hash").isNull()).alias("null_rows"),
+            F.expr(f"approx_top_k(hash, {MAX_HEAVY}, {4 * TRACKED_SHARE})").alias("top"),
+        )
+        .first()
     )
-    row = keys.agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col("hash").isNull()).alias("null_rows"),
-        F.coalesce(F.sum("width"), F.lit(0)).alias("key_bytes"),
-        F.expr(f"approx_top_k(hash, {MAX_HEAVY}, {4 * TRACKED_SHARE})").alias("top"),
-    ).first()
     heavy = tuple(
         item["item"] for item in (row["top"] or []) if item["item"] is not None and item["count"] > rows_per_slice
     )
-    return KeyProfile(row["rows"], row["null_rows"], row["key_bytes"], heavy)
+    return KeyProfile(row["rows"], row["null_rows"], heavy)
 
 
 def _key_counts(df: DataFrame, on: Sequence[str], heavy: Sequence[int], name: str) -> DataFrame:
@@ -81,12 +85,14 @@ def heavy_keys(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    left_profile: KeyProfile,
+    left_profile: KeyProfile | None,
     right_profile: KeyProfile | None,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame | None:
     """A table of the heavy keys with the number of slices for each side, or None without any.
 
+    A side without a profile is taken to have no heavy keys.
+
     ``right_slices`` above one means that the key is known to occur on the right.
     """
     most = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -95,7 +101,7 @@ def heavy_keys(
         return F.least(F.lit(most), F.ceil(F.col(n) / rows_per_slice).cast("int"))
 
     parts = []
-    if left_profile.heavy:
+    if left_profile is not None and left_profile.heavy:
         n = _key_counts(left, on, left_profile.heavy, "_n")
         parts.append(n.select(*on, slices("_n").alias("left_slices"), F.lit(1).alias("right_slices")))
     if right_profile is not None and right_profile.heavy:

@@ -85,8 +85,8 @@ def by_type(df: DataFrame) -> DataFrame:
 @query(t.WITH_SQL + BY_TYPE_SQL)
 def annotate_left_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many variants of each type on each chromosome are known to the reference."""
-    known = op.annotate(t.variants(spark, sf_dir), t.reference(spark, sf_dir), unique_reference=True)
-    return by_type(known)
+    v, r = t.variants(spark, sf_dir), t.reference(spark, sf_dir)
+    return by_type(op.annotate(v, r, strategy="direct", unique_reference=True))
 
 
 @query(t.WITH_SQL + LEFT_ROWS_SQL)
@@ -114,7 +114,7 @@ FROM v JOIN r {USING} WHERE chrom = '1'"""
 )
 def annotate_inner_chr1(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_1 = op.on_chroms(t.variants(spark, sf_dir), ["1"])
-    return op.annotate(on_1, t.reference(spark, sf_dir), how="inner", unique_reference=True)
+    return op.annotate(on_1, t.reference(spark, sf_dir), how="inner", strategy="direct", unique_reference=True)
 
 
 @query(
@@ -125,7 +125,7 @@ SELECT v.chrom, v.start, v.ref, v.alt, v.tsa, v.qual, l_orderkey, l_linenumber,
 FROM v LEFT JOIN r ON v.chrom = r.chrom AND v.start = r.start"""
 )
 def annotate_custom_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counted(op.annotate(t.variants(spark, sf_dir), t.reference(spark, sf_dir), on=["chrom", "start"]))
+    return counted(op.annotate(t.variants(spark, sf_dir), t.reference(spark, sf_dir), on=["chrom", "start"], strategy="direct"))
 
 
 @query(
@@ -136,7 +136,7 @@ FROM v LEFT JOIN d {USING} GROUP BY v.tsa"""
 )
 def annotate_dup_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key that repeats in the reference repeats the input row."""
-    joined = op.annotate(t.variants(spark, sf_dir), t.reference_rows(spark, sf_dir))
+    joined = op.annotate(t.variants(spark, sf_dir), t.reference_rows(spark, sf_dir), strategy="direct")
     return joined.groupBy("tsa").agg(
         F.count("*").alias("n_rows"),
         F.count("tsa_ensembl").alias("n_matches"),
@@ -158,7 +158,7 @@ def annotate_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     null_a = F.nullif(F.col("ref"), F.lit("A"))
     left = t.variants(spark, sf_dir).withColumn("ref", null_a)
     right = t.reference(spark, sf_dir).withColumn("ref", null_a)
-    known = op.annotate(left, right, rows_per_slice=5_000)
+    known = op.annotate(left, right, strategy="direct", rows_per_slice=5_000)
     return known.groupBy("ref", "tsa").agg(F.count("*").alias("n_rows"), F.count("n_obs").alias("n_known"))
 
 
@@ -184,7 +184,7 @@ def annotate_hot_input_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the input shares one key; its rows are dealt over several slices."""
     hot = t.hot_variants(spark, sf_dir)
     ref = hot.groupBy(*KEYS).agg(F.count("*").alias("n_obs"))
-    known = op.annotate(hot, ref, unique_reference=True, rows_per_slice=1_000)
+    known = op.annotate(hot, ref, unique_reference=True, strategy="direct", rows_per_slice=1_000)
     return known.groupBy("tsa").agg(
         F.count("*").alias("n_rows"),
         F.count("n_obs").alias("n_known"),
@@ -204,8 +204,11 @@ FROM k LEFT JOIN h {USING} GROUP BY chrom"""
 def annotate_hot_reference_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the reference shares one key; unmatched input rows still occur exactly once."""
     hot = t.hot_variants(spark, sf_dir)
-    keys = hot.select(*KEYS).union(t.variants(spark, sf_dir).select(*KEYS)).distinct()
-    known = op.annotate(keys, hot, rows_per_slice=1_000)
+    # Written, because the input is read several times and would be made unique again each time.
+    out = scratch_dir(spark, "annotate_hot_reference_key")
+    hot.select(*KEYS).union(t.variants(spark, sf_dir).select(*KEYS)).distinct().write.parquet(out)
+    keys = spark.read.parquet(out)
+    known = op.annotate(keys, hot, strategy="direct", rows_per_slice=1_000)
     return known.groupBy("chrom").agg(
         F.count("*").alias("n_rows"),
         F.count("l_orderkey").alias("n_matches"),
@@ -221,7 +224,7 @@ SELECT {KEY_LIST}, v.tsa, v.qual, l_orderkey, l_linenumber, l_linestatus, r.qual
 FROM v LEFT JOIN r {USING} WHERE n_obs IS NOT NULL"""
 )
 def annotated_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = op.annotate(t.variants(spark, sf_dir), t.reference(spark, sf_dir), unique_reference=True)
+    known = op.annotate(t.variants(spark, sf_dir), t.reference(spark, sf_dir), strategy="direct", unique_reference=True)
     return op.annotated_only(known, "n_obs")
 
 
@@ -241,7 +244,7 @@ FROM v LEFT JOIN c {USING} WHERE clnsig LIKE '%Pathogenic%'"""
 )
 def annotate_then_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case matters: ``Likely_pathogenic`` alone does not contain ``Pathogenic``."""
-    known = op.annotate(t.variants(spark, sf_dir), clinical_reference(spark, sf_dir), unique_reference=True)
+    known = op.annotate(t.variants(spark, sf_dir), clinical_reference(spark, sf_dir), strategy="direct", unique_reference=True)
     return op.containing(known, "clnsig", "Pathogenic")
 
 
@@ -253,7 +256,7 @@ SELECT clnsig, tsa, count(*) AS n FROM v LEFT JOIN c {USING}
 WHERE regexp_matches(clnsig, '^(Likely_)?[Pp]athogenic$') GROUP BY clnsig, tsa"""
 )
 def annotate_then_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    known = op.annotate(t.variants(spark, sf_dir), clinical_reference(spark, sf_dir), unique_reference=True)
+    known = op.annotate(t.variants(spark, sf_dir), clinical_reference(spark, sf_dir), strategy="direct", unique_reference=True)
     return op.matching(known, "clnsig", "^(Likely_)?[Pp]athogenic$").groupBy("clnsig", "tsa").agg(F.count("*").alias("n"))
 
 
@@ -284,7 +287,7 @@ def annotate_exploded_alts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefixed = t.variants(spark, sf_dir).withColumn("chrom", F.concat(F.lit("chr"), "chrom"))
     alleles = op.explode_alt(t.reference_rows(spark, sf_dir), types=None)
     ref = alleles.groupBy(*KEYS).agg(F.count("*").alias("n_obs"))
-    known = op.annotate(prefixed, ref, strip_chr_prefix=True, explode_alt=True, unique_reference=True)
+    known = op.annotate(prefixed, ref, strip_chr_prefix=True, explode_alt=True, strategy="direct", unique_reference=True)
     return known.groupBy("tsa").agg(F.count("*").alias("n_rows"), F.count("n_obs").alias("n_known"))
 
 
@@ -509,21 +512,24 @@ def multi_file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(t.WITH_SQL + t.PARSED_SQL)
 def vcf_parse_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_lines(t.vcf_text(t.variants(spark, sf_dir)), t.VCF_INFO)
+    out = scratch_dir(spark, "vcf_parse_lines")
+    t.vcf_text(t.variants(spark, sf_dir)).write.text(out)
+    return parse_lines(spark.read.text(out), t.VCF_INFO)
 
 
 @query(t.WITH_SQL + "SELECT chrom, start, ref, alt, l_linestatus = 'F' AS f, l_orderkey AS ok FROM v")
 def vcf_info_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the requested INFO fields are extracted, in the requested order."""
-    wanted = select_info(t.VCF_INFO, ["F", "OK"])
-    return parse_lines(t.vcf_text(t.variants(spark, sf_dir)), wanted).select(*KEYS, "f", "ok")
+    out = scratch_dir(spark, "vcf_info_projection")
+    t.vcf_text(t.variants(spark, sf_dir)).write.text(out)
+    return parse_lines(spark.read.text(out), select_info(t.VCF_INFO, ["F", "OK"])).select(*KEYS, "f", "ok")
 
 
 @query(t.WITH_SQL + t.PARSED_SQL)
 def vcf_to_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text files converted to Parquet; the second conversion reuses the first."""
     out = scratch_dir(spark, "vcf_to_parquet_roundtrip")
-    t.vcf_text(t.variants(spark, sf_dir)).write.option("compression", "gzip").text(f"{out}/sample.vcf")
+    t.vcf_text(t.variants(spark, sf_dir)).write.text(f"{out}/sample.vcf")
     vcf_to_parquet(spark, f"{out}/sample.vcf", info_fields=t.VCF_INFO)
     df, path = vcf_to_parquet(spark, f"{out}/sample.vcf")
     if path != f"{out}/sample.parquet":

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import info_value, percent_decoded, source_name, typed_info
+from ..functions import framed_info, percent_decoded, source_name, typed_info
 from ..schema import ALT_SEPARATOR, InfoField, info_columns
 from .blocks import SPLIT_BYTES, read_block_lines
 from .catalog import file_catalog
@@ -36,7 +36,6 @@ def parse_lines(
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError(f"unknown mode {mode!r}")
-    strict = mode == "failfast"
     cells = F.split("value", "\t", _FIXED_COLUMNS + 1)
     rows = lines.filter((F.col("value") != "") & ~F.col("value").startswith("#")).select(
         *keep, F.col("value").alias("_line"), cells.alias("_cells")
@@ -48,26 +47,36 @@ def parse_lines(
     def known(i: int) -> Column:
         return F.nullif(cell(i), F.lit("."))
 
-    chrom, start = cell(0), cell(1).try_cast("bigint")
-    if strict:
+    start = cell(1).try_cast("bigint")
+    if mode == "failfast":
         bad = F.raise_error(F.concat(F.lit("not a VCF record: "), F.substring("_line", 1, 200)))
-        whole = F.size("_cells") >= _FIXED_COLUMNS
-        chrom = F.when(whole, chrom).otherwise(bad)
-        start = F.when(whole & start.isNotNull(), start).otherwise(bad.cast("bigint"))
-    raw_info, ref = cell(7), cell(3)
-    end = F.coalesce(info_value(raw_info, "END").try_cast("bigint"), start + F.length(ref) - 1)
-    names = info_columns(info)
-    return rows.select(
+        start = F.when(F.size("_cells") >= _FIXED_COLUMNS, start)
+        start = F.coalesce(start, bad.cast("bigint"))
+    # Two steps, so that the position and the framed INFO text are made once per row and not once per use.
+    fixed = rows.select(
         *keep,
-        chrom.alias("chrom"),
+        cell(0).alias("chrom"),
         start.alias("start"),
-        end.alias("end"),
         known(2).alias("id"),
-        ref.alias("ref"),
+        cell(3).alias("ref"),
         F.translate(known(4), ",", ALT_SEPARATOR).alias("alt"),
         known(5).try_cast("double").alias("qual"),
         known(6).alias("filter"),
-        *[typed_info(raw_info, f).alias(names[f.id]) for f in info],
+        framed_info(cell(7)).alias("_info"),
+    )
+    end = F.coalesce(typed_info("_info", InfoField("END", "1", "Integer")), F.col("start") + F.length("ref") - 1)
+    names = info_columns(info)
+    return fixed.select(
+        *keep,
+        "chrom",
+        "start",
+        end.alias("end"),
+        "id",
+        "ref",
+        "alt",
+        "qual",
+        "filter",
+        *[typed_info("_info", f).alias(names[f.id]) for f in info],
     )
 
 
