@@ -13,28 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import file_catalog
+from .storage import task_opener
 
 SPLIT_BYTES = 32 * 1024**2
 
 
 def _reader():
     """The task function.  Nested, so that executors need no copy of this package."""
+    opened = task_opener()
 
     def read(batches):
         import zlib
 
         import pyarrow as pa
-        from pyarrow import fs as pafs
 
         flush_bytes = 4 * 1024**2
 
-        def opened(path):
-            uri = path.replace("s3a://", "s3://", 1)
-            if uri.startswith("file:"):
-                uri = "file:///" + uri[len("file:") :].lstrip("/")
-            filesystem, inner = pafs.FileSystem.from_uri(uri)
-            return filesystem.open_input_file(inner)
-
         def block_length(head):
             # gzip magic with an extra field of six bytes whose only entry is the block length
             good = head[:4] == b"\x1f\x8b\x08\x04" and head[10:16] == b"\x06\x00BC\x02\x00"

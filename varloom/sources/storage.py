@@ -52,3 +52,24 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below a folder."""
     fs, hadoop_path = _hadoop_path(spark, path)
     return [str(s.getPath().getName()) for s in fs.listStatus(hadoop_path) if s.isDirectory()]
+
+
+def task_opener():
+    """A function that opens a listed path for reading in a Python task.
+
+    It is made anew by every call, so that it travels to the executors by value and they need no copy
+    of this package.
+    """
+
+    def opened(path):
+        from urllib.parse import quote
+
+        from pyarrow import fs as pafs
+
+        if path.startswith("file:"):
+            return pafs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
+        uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@?=&")
+        filesystem, inner = pafs.FileSystem.from_uri(uri)
+        return filesystem.open_input_file(inner)
+
+    return opened

@@ -16,7 +16,7 @@ from ..functions import framed_info, percent_decoded, source_name, typed_info
 from ..schema import ALT_SEPARATOR, InfoField, info_columns
 from .blocks import SPLIT_BYTES, read_block_lines
 from .catalog import file_catalog
-from .storage import finished
+from .storage import finished, task_opener
 
 #: VCF columns before the sample columns.
 _FIXED_COLUMNS = 8
@@ -106,21 +106,17 @@ def header_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     Each file is opened in a task and left at its first record, so the cost does not depend on how much
     data follows the header.
     """
+    opened = task_opener()
 
     def read(batches):
         import gzip
         import io
 
         import pyarrow as pa
-        from pyarrow import fs as pafs
 
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                uri = path.replace("s3a://", "s3://", 1)
-                if uri.startswith("file:"):
-                    uri = "file:///" + uri[len("file:") :].lstrip("/")
-                filesystem, inner = pafs.FileSystem.from_uri(uri)
-                with filesystem.open_input_file(inner) as f:
+                with opened(path) as f:
                     packed = f.read(2) == b"\x1f\x8b"
                     f.seek(0)
                     text = gzip.GzipFile(fileobj=f) if packed else io.BufferedReader(f)
