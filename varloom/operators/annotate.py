@@ -79,11 +79,11 @@ def annotate(
 
     * ``"semi"`` broadcasts the distinct left keys, reduces the reference to its hits where it is
       read, and joins only those.  The reference is never shuffled.  Right for a sample against a
-      reference dataset.
+      reference dataset.  A left table beyond ``SEMI_MAX_ROWS`` or ``SEMI_MAX_KEY_BYTES`` is joined
+      directly instead.
     * ``"direct"`` is one shuffle join, for left tables as large as the reference.
-    * ``"auto"`` takes ``"semi"`` for a left table within ``SEMI_MAX_ROWS`` and ``SEMI_MAX_KEY_BYTES``
-      and a reference ``SEMI_MIN_RATIO`` times as long, otherwise ``"direct"``.  ``reference_rows`` is
-      the length of the reference; without it the rows are counted.
+    * ``"auto"`` takes ``"semi"`` when the reference is ``SEMI_MIN_RATIO`` times as long as the left
+      table.  ``reference_rows`` is its length; without it the rows are counted.
 
     ``skew="auto"`` measures both sides for keys above ``rows_per_slice`` rows and spreads them;
     ``None`` leaves it to adaptive execution.  ``unique_reference=True`` states that no reference key
@@ -117,13 +117,14 @@ def annotate(
     if left.isStreaming or reference.isStreaming:
         return left.join(right, on, how).select(*columns)
 
-    rows = left.count() if skew or strategy == "auto" else None
-    if strategy == "auto":
-        strategy = "direct"
-        if rows <= SEMI_MAX_ROWS:
+    rows = left.count() if skew or strategy != "direct" else None
+    if strategy != "direct":
+        worth_it = strategy == "semi"
+        if not worth_it and rows <= SEMI_MAX_ROWS:
             theirs = reference.count() if reference_rows is None else reference_rows
-            if theirs >= SEMI_MIN_RATIO * rows and key_bytes(left, on) <= SEMI_MAX_KEY_BYTES:
-                strategy = "semi"
+            worth_it = theirs >= SEMI_MIN_RATIO * rows
+        small = worth_it and rows <= SEMI_MAX_ROWS and key_bytes(left, on) <= SEMI_MAX_KEY_BYTES
+        strategy = "semi" if small else "direct"
     if strategy == "semi":
         right = semi_reduce(right, left, on)
 

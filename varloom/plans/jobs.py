@@ -17,9 +17,9 @@ from ..operators.split import SOURCE_COLUMN, expected_splits, pending_sources, s
 from ..schema import KEYS, TYPE_COLUMN, InfoField
 from ..sources.catalog import collect_parquet_files, file_catalog, partition_value
 from ..sources.presets import Preset
-from ..sources.reference import chromosome_list, open_reference, read_partitioned
+from ..sources.reference import chromosome_list, open_reference, position_ranges, read_partitioned, within_ranges
 from ..sources.storage import path_exists, qualified
-from ..sources.vcf import read_info_fields, read_vcf, select_info
+from ..sources.vcf import read_vcf, resolve_info
 
 
 def save_annotated(df: DataFrame, out: str | None, compression: str = "zstd") -> str:
@@ -39,7 +39,7 @@ def annotate_vcf(
     how: str = "left",
     out: str | None = None,
     info_fields: Sequence[str | InfoField] | None = None,
-    bgzf: bool = False,
+    bgzf: bool | str = "auto",
     **options,
 ) -> DataFrame | str:
     """Annotate VCF files against a reference dataset.
@@ -57,8 +57,9 @@ def annotate_vcf(
         named = variants
         if options.get("strip_chr_prefix"):
             named = variants.withColumn("chrom", bare_chrom("chrom"))
-        chroms = chromosome_list(named)
-        found = open_reference(spark, reference, variant_type, chroms)
+        found = open_reference(spark, reference, variant_type, chromosome_list(named))
+        if found is not None and {"chrom", "start"} <= set(on):
+            found = within_ranges(found, position_ranges(named))
         annotated = annotate(variants, found, on, how, **options)
         return annotated if out is None else save_annotated(annotated, out)
     finally:
@@ -106,7 +107,7 @@ def convert_pending(
     out: str,
     info_fields: Sequence[str | InfoField] | None = None,
     overwrite: bool = False,
-    bgzf: bool = False,
+    bgzf: bool | str = "auto",
     mode: str = "failfast",
 ) -> list[str]:
     """Convert the VCF files of a catalog that have no output yet, all in one job.
@@ -120,10 +121,11 @@ def convert_pending(
     # One name per input file; Spark takes the paths to read as a list.
     paths = sorted(r["path"] for r in pending.collect())
     if paths:
+        # All headers, so that the columns do not depend on which files are still to be converted.
         every = [r["path"] for r in inputs.select("path").collect()]
-        info = select_info(read_info_fields(spark, every), info_fields)
+        info = resolve_info(spark, every, info_fields)
         df = read_vcf(spark, paths, info, with_source=True, mode=mode, bgzf=bgzf)
-        write_split(df, out, [SOURCE_COLUMN], layout="scan", compression="snappy", replace_partitions=True)
+        write_split(df, out, [SOURCE_COLUMN], layout="scan", replace_partitions=True)
     return paths
 
 
@@ -210,7 +212,7 @@ def prepare(
     info_fields: Sequence[str | InfoField] | None = None,
     remote: DataFrame | None = None,
     overwrite: bool = False,
-    bgzf: bool = False,
+    bgzf: bool | str = "auto",
     layout: str = "rebalance",
 ) -> Prepared:
     """Select landed files, convert them, validate, and optionally split by variant type.

@@ -7,8 +7,10 @@ from .reference import (
     chromosomes,
     match_reference_files,
     open_reference,
+    position_ranges,
     prune,
     read_partitioned,
+    within_ranges,
 )
 from .storage import finished, path_exists, scratch_dir
 from .vcf import (
@@ -19,6 +21,7 @@ from .vcf import (
     parse_lines,
     read_info_fields,
     read_vcf,
+    resolve_info,
     select_info,
     vcf_lines,
     vcf_to_parquet,
@@ -45,12 +48,15 @@ __all__ = [
     "parse_lines",
     "partition_value",
     "path_exists",
+    "position_ranges",
     "prune",
     "read_info_fields",
     "read_partitioned",
     "read_vcf",
+    "resolve_info",
     "scratch_dir",
     "select_info",
     "vcf_lines",
     "vcf_to_parquet",
+    "within_ranges",
 ]

@@ -7,6 +7,8 @@ Three layouts are understood: ``tsa=<type>/chrom=<chrom>/`` as written by this p
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,9 @@ CHROM_FILE_NAMES = ("homo_sapiens-chr{}.parquet", "chr{}.parquet", "{}.parquet")
 #: More distinct chromosome names than this are not used for pruning; the join is the same without.
 MAX_PRUNING_CHROMS = 10_000
 
+#: Likewise for ranges of positions, which make a longer predicate.
+MAX_RANGES = 200
+
 
 def chromosomes(df: DataFrame) -> DataFrame:
     """Distinct chromosomes in natural order, with what they are sorted by.
@@ -66,6 +71,25 @@ def prune(
     return reference
 
 
+def position_ranges(df: DataFrame, most: int = MAX_RANGES) -> dict[str, tuple[int, int]] | None:
+    """First and last position per chromosome, or None when there are more than ``most`` chromosomes."""
+    known = df.filter(F.col("chrom").isNotNull() & F.col("start").isNotNull())
+    rows = known.groupBy("chrom").agg(F.min("start").alias("lo"), F.max("start").alias("hi")).limit(most + 1).collect()
+    return None if len(rows) > most else {r["chrom"]: (r["lo"], r["hi"]) for r in rows}
+
+
+def within_ranges(reference: DataFrame, ranges: dict[str, tuple[int, int]] | None) -> DataFrame:
+    """Reference rows inside the ranges.
+
+    A join on chromosome and position finds the same matches.  On a reference sorted by position the
+    scan skips the row groups outside, which for a gene panel is nearly all of them.
+    """
+    if not ranges:
+        return reference
+    inside = [(F.col("chrom") == c) & F.col("start").between(lo, hi) for c, (lo, hi) in sorted(ranges.items())]
+    return reference.filter(reduce(or_, inside))
+
+
 def match_reference_files(files: DataFrame, chroms: DataFrame) -> DataFrame:
     """``chrom, path``: for each chromosome the first of its candidate files that exists.
 

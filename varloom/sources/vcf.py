@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import framed_info, percent_decoded, source_name, typed_info
+from ..functions import base_name, framed_info, is_index_file, percent_decoded, source_name, typed_info
 from ..schema import ALT_SEPARATOR, InfoField, info_columns
-from .blocks import SPLIT_BYTES, read_block_lines
+from .blocks import SPLIT_BYTES, block_gzip_files, read_block_lines
 from .catalog import file_catalog
 from .storage import finished, task_opener
 
@@ -134,7 +135,7 @@ def header_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
                     names=["path", "line", "value"],
                 )
 
-    files = file_catalog(spark, paths, recursive=False).select("path")
+    files = file_catalog(spark, paths, recursive=False).filter(~is_index_file("path")).select("path")
     return files.mapInArrow(read, "path string, line bigint, value string")
 
 
@@ -182,26 +183,52 @@ def select_info(declared: Sequence[InfoField], wanted: Sequence[str | InfoField]
     return [w if isinstance(w, InfoField) else known[w] for w in wanted]
 
 
-def vcf_lines(spark: SparkSession, paths: str | Sequence[str], bgzf: bool = False, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """``value, source_file`` of VCF files, plain, gzip or block-gzip.
+def resolve_info(
+    spark: SparkSession, paths: str | Sequence[str], wanted: Sequence[str | InfoField] | None
+) -> list[InfoField]:
+    """The wanted fields; headers are read only when some are given by name or all are wanted."""
+    if wanted is not None and all(isinstance(f, InfoField) for f in wanted):
+        return list(wanted)
+    return select_info(read_info_fields(spark, paths), wanted)
+
+
+def _by_packing(
+    spark: SparkSession, paths: list[str], bgzf: bool | str, split_bytes: int
+) -> tuple[list[str], list[str]]:
+    """The input files, without index files, as those for the text source and those to read by blocks."""
+    files = file_catalog(spark, paths, recursive=False).filter(~is_index_file("path")).select("path", "size")
+    found = files.collect()
+    blocked = {r["path"] for r in found if r["path"].endswith(".bgz")}
+    packed = [r for r in found if r["path"].endswith(".gz")]
+    if bgzf is True:
+        blocked |= {r["path"] for r in packed}
+    elif bgzf == "auto" and any(r["size"] > split_bytes for r in packed):
+        large = files.filter((F.col("size") > split_bytes) & F.col("path").endswith(".gz"))
+        blocked |= {r["path"] for r in block_gzip_files(large).collect()}
+    return sorted(r["path"] for r in found if r["path"] not in blocked), sorted(blocked)
+
+
+def vcf_lines(
+    spark: SparkSession, paths: str | Sequence[str], bgzf: bool | str = "auto", split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """``value, source_file`` of VCF files, plain, gzip or block-gzip; index files are left out.
 
-    ``.bgz`` files are read block by block in parallel; ``bgzf=True`` reads ``.gz`` files that way too,
-    which needs them to be block-gzip, as published VCF files are.  A plain ``.gz`` is one task.
+    Block-gzip files are read block by block in parallel: ``.bgz`` always, ``.gz`` with
+    ``bgzf="auto"`` when the file is larger than one split and starts with such a block, or with
+    ``bgzf=True``.  Any other ``.gz`` is one task.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    blocked = [p for p in paths if p.endswith(".bgz") or (bgzf and p.endswith(".gz"))]
-    plain = [p for p in paths if p not in blocked]
+    plain, blocked = _by_packing(spark, paths, bgzf, split_bytes)
     parts = []
     if plain:
         text = spark.read.text(plain)
         parts.append(text.select("value", percent_decoded("_metadata.file_name").alias("source_file")))
     if blocked:
         text = read_block_lines(spark, blocked, split_bytes)
-        parts.append(text.select("value", F.substring_index("path", "/", -1).alias("source_file")))
-    lines = parts[0]
-    for more in parts[1:]:
-        lines = lines.unionByName(more)
-    return lines
+        parts.append(text.select("value", base_name("path").alias("source_file")))
+    if not parts:
+        return spark.createDataFrame([], "value string, source_file string")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_vcf(
@@ -212,7 +239,7 @@ def read_vcf(
     with_source: bool = False,
     partitions: int | None = None,
     mode: str = "failfast",
-    bgzf: bool = False,
+    bgzf: bool | str = "auto",
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Read VCF files as one variant table.
@@ -223,8 +250,7 @@ def read_vcf(
     ``save_parquet`` writes the table, to a path or next to the input with ``"auto"``, and returns the
     written table.
     """
-    given = info_fields is not None and all(isinstance(f, InfoField) for f in info_fields)
-    info = list(info_fields) if given else select_info(read_info_fields(spark, paths), info_fields)
+    info = resolve_info(spark, paths, info_fields)
     lines = vcf_lines(spark, paths, bgzf, split_bytes)
     if partitions:
         lines = lines.repartition(partitions)
@@ -236,7 +262,7 @@ def read_vcf(
     if save_parquet is None:
         return df
     target = default_path(paths) if save_parquet == "auto" else save_parquet
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
