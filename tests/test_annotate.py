@@ -177,3 +177,29 @@ def test_match_rate_counts_input_rows_once(left, right):
     assert by["1"]["match_rate"] == 66.67 and by[None]["matched"] == 0
     empty = op.match_rate(left.limit(0), right).first()
     assert empty["total"] == 0 and empty["match_rate"] is None
+
+
+def test_bucketed_reference_is_not_shuffled(spark, left, right, tmp_path):
+    from varloom.plans import build_bucketed_reference
+
+    build_bucketed_reference(right, "bucketed_reference", 4, path=str(tmp_path / "b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = op.annotate(left, spark.table("bucketed_reference"), strategy="direct")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+        assert rows(df) == sorted(EXPECTED, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_reference")
+
+
+def test_semi_falls_back_beyond_its_bounds(left, right, monkeypatch):
+    import sys
+
+    module = sys.modules["varloom.operators.annotate"]
+
+    monkeypatch.setattr(module, "SEMI_MAX_ROWS", 1)
+    df = op.annotate(left, right, strategy="semi")
+    assert "LeftSemi" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(df) == sorted(EXPECTED, key=repr)

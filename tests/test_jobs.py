@@ -155,7 +155,7 @@ def test_publish_plan_and_stats(spark, reference):
     again = publish_plan(spark, reference, plan.select("path_in_repo", F.col("local_size").alias("size")))
     assert again.filter("uploaded").isEmpty()
     stats = describe_dataset(spark, reference).first()
-    assert stats["num_files"] == 3 and stats["variant_types"] == ["tsa=SNV", "tsa=deletion"]
+    assert stats["num_files"] == 3 and stats["variant_types"] == ["SNV", "deletion"]
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):

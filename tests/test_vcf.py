@@ -5,7 +5,7 @@ import zlib
 
 import pytest
 
-from varloom.schema import InfoField
+from varloom.schema import CORE_SCHEMA, InfoField
 from varloom.sources import (
     header_info,
     header_lines,
@@ -147,6 +147,14 @@ def test_split_runs_once_per_row(spark, landed):
     assert plan.count("split(value") == 1 and "BatchEvalPython" not in plan
 
 
+def test_index_files_give_no_rows(spark, landed, tmp_path):
+    (tmp_path / "a.vcf.gz.tbi").write_bytes(b"index")
+    df = read_vcf(spark, str(tmp_path / "a.vcf.gz.tbi"))
+    assert df.columns == [f.name for f in CORE_SCHEMA] and df.isEmpty()
+    (tmp_path / "a.vcf").write_text(text())
+    assert read_vcf(spark, str(tmp_path), []).count() == 4
+
+
 def test_source_file_and_partitions(spark, landed):
     df = read_vcf(spark, [str(landed / "plain.vcf"), str(landed / "blocks.vcf.bgz")], [], with_source=True, partitions=3)
     assert {r[0] for r in df.select("source_file").distinct().collect()} == {"plain", "blocks"}

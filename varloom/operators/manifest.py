@@ -200,19 +200,25 @@ def sync_reasons(plan: DataFrame) -> DataFrame:
     )
 
 
+def _type_folder(root: str) -> Column:
+    """The folder directly below the root, null for files in the root; ``tsa=SNV`` counts as ``SNV``."""
+    rel = relative_path("path", root)
+    folder = F.regexp_replace(F.substring_index(rel, "/", 1), "^[^=]+=", "")
+    return F.when(rel.contains("/"), folder)
+
+
 def variant_types_present(catalog: DataFrame, root: str) -> DataFrame:
     """``variant_type``: the folders directly below the root that hold files."""
-    rel = relative_path("path", root)
-    return catalog.filter(rel.contains("/")).select(F.substring_index(rel, "/", 1).alias("variant_type")).distinct()
+    return catalog.select(_type_folder(root).alias("variant_type")).filter("variant_type IS NOT NULL").distinct()
 
 
 def dataset_stats(catalog: DataFrame, root: str) -> DataFrame:
     """One row: number of files, bytes, GB and the sorted variant types of a dataset."""
-    rel = relative_path("path", root)
-    folder = F.when(rel.contains("/"), F.substring_index(rel, "/", 1))
-    return catalog.groupBy(folder.alias("_type")).agg(F.count("*").alias("_n"), F.sum("size").alias("_b")).agg(
+    per_type = catalog.groupBy(_type_folder(root).alias("_type")).agg(F.count("*").alias("_n"), F.sum("size").alias("_b"))
+    total = F.coalesce(F.sum("_b"), F.lit(0))
+    return per_type.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("num_files"),
-        F.coalesce(F.sum("_b"), F.lit(0)).alias("total_bytes"),
-        gigabytes(F.coalesce(F.sum("_b"), F.lit(0))).alias("total_gb"),
+        total.alias("total_bytes"),
+        gigabytes(total).alias("total_gb"),
         F.array_sort(F.collect_set("_type")).alias("variant_types"),
     )

@@ -132,8 +132,10 @@ def salted_join(
     the key is known to exist on the right.  Left rows with a null key match nothing and are dealt
     over ``null_slices``.
 
-    Rows are dealt by their position in the input partition, so equal rows are separated too; inputs
-    should be scans or written tables, whose row order does not change when a task is retried.
+    Rows are dealt by their position in the input partition, so equal rows are separated too.  Scans
+    and written tables keep their row order when a lost task is run again.  For inputs that come out of a
+    shuffle, ``spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch`` makes Spark repeat
+    what depended on another order.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")

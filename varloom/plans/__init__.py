@@ -4,6 +4,7 @@ from .jobs import (
     Prepared,
     annotate_clinical,
     annotate_vcf,
+    build_bucketed_reference,
     build_reference,
     convert_pending,
     describe_dataset,
@@ -19,6 +20,7 @@ __all__ = [
     "Prepared",
     "annotate_clinical",
     "annotate_vcf",
+    "build_bucketed_reference",
     "build_reference",
     "convert_pending",
     "describe_dataset",

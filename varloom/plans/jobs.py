@@ -57,9 +57,11 @@ def annotate_vcf(
         named = variants
         if options.get("strip_chr_prefix"):
             named = variants.withColumn("chrom", bare_chrom("chrom"))
-        found = open_reference(spark, reference, variant_type, chromosome_list(named))
+        ranges = position_ranges(named)
+        chroms = chromosome_list(named) if ranges is None else sorted(ranges)
+        found = open_reference(spark, reference, variant_type, chroms)
         if found is not None and {"chrom", "start"} <= set(on):
-            found = within_ranges(found, position_ranges(named))
+            found = within_ranges(found, ranges)
         annotated = annotate(variants, found, on, how, **options)
         return annotated if out is None else save_annotated(annotated, out)
     finally:
@@ -190,6 +192,20 @@ def build_reference(
     write_split(df, out, [type_column, "chrom"], layout, mode)
 
 
+def build_bucketed_reference(
+    df: DataFrame, table: str, buckets: int, on: Sequence[str] = KEYS, path: str | None = None
+) -> None:
+    """Write a reference as a table bucketed and sorted by the join keys.
+
+    Joins of large variant tables on exactly these keys then shuffle only their own side.  The rows are
+    gathered by bucket first, so a bucket is one file; the catalog of the session keeps the table.
+    """
+    writer = (
+        df.repartition(buckets, *on).write.mode("overwrite").bucketBy(buckets, *on).sortBy(*on).option("compression", "zstd")
+    )
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 @dataclass(frozen=True)
 class Prepared:
     """What ``prepare`` did: where the tables are, which files it handled and what is wrong."""

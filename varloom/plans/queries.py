@@ -507,6 +507,25 @@ def multi_file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    t.WITH_SQL
+    + f"""
+, c AS (SELECT {KEY_LIST}, {CLINICAL.format("qual")} AS clnsig FROM v)
+SELECT {KEY_LIST}, clnsig FROM c WHERE clnsig LIKE '%Pathogenic%' ORDER BY {KEY_LIST}, clnsig LIMIT 100"""
+)
+def parquet_glob_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over a glob of Parquet datasets."""
+    out = scratch_dir(spark, "parquet_glob_sql")
+    clinical = t.variants(spark, sf_dir).select(*KEYS, F.expr(CLINICAL.format("qual")).alias("clnsig"), "l_linestatus")
+    for status in ("F", "O"):
+        clinical.filter(F.col("l_linestatus") == status).drop("l_linestatus").write.parquet(f"{out}/{status}.parquet")
+    spark.read.parquet(f"{out}/*.parquet").createOrReplaceTempView("clinical_variants")
+    return spark.sql(
+        f"""SELECT {KEY_LIST}, clnsig FROM clinical_variants WHERE clnsig LIKE '%Pathogenic%'
+        ORDER BY {KEY_LIST}, clnsig LIMIT 100"""
+    )
+
+
 # --- VCF text --------------------------------------------------------------------------------------
 
 
@@ -815,9 +834,8 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "catalog_scan")
     t.variants(spark, sf_dir).write.partitionBy("tsa").parquet(out)
     found = op.variant_types_present(file_catalog(spark, out, r"\.parquet$"), qualified(spark, out))
-    types = found.select(F.regexp_replace("variant_type", "^tsa=", "").alias("variant_type"))
     counts = op.type_counts(op.read_split(spark, out, t.variants(spark, sf_dir).schema))
-    return types.join(counts.withColumnRenamed("tsa", "variant_type"), "variant_type")
+    return found.join(counts.withColumnRenamed("tsa", "variant_type"), "variant_type")
 
 
 @query(t.WITH_SQL + t.PARSED_SQL.replace("FROM v", "FROM v UNION ALL " + t.PARSED_SQL.replace("FROM v", "FROM (SELECT * REPLACE (chrom || '_alt' AS chrom) FROM v)")))
