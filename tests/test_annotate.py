@@ -167,6 +167,15 @@ def test_semi_strategy_does_not_shuffle_the_reference(spark, left, tmp_path):
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     # The only exchanges belong to the small left side.
     assert "SortMergeJoin" not in plan and plan.index("FileScan parquet") < plan.index("BroadcastExchange")
+    assert reduced.columns == list(RIGHT.replace(",", "").split())[::2] and reduced.count() == 1
+
+
+def test_key_types_that_differ(spark, left, right):
+    """Hashes of an int and a bigint differ, so such keys are compared by value."""
+    narrow = left.withColumn("start", F.col("start").cast("int"))
+    df = op.annotate(narrow, right, strategy="semi")
+    assert "LeftSemi" not in df._jdf.queryExecution().executedPlan().toString()
+    assert rows(df) == sorted(EXPECTED, key=repr)
 
 
 def test_match_rate_counts_input_rows_once(left, right):

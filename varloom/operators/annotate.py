@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from ..functions import alt_alleles, bare_chrom
 from ..schema import KEYS
-from .skew import ROWS_PER_SLICE, heavy_keys, key_bytes, profile_keys, salted_join
+from .skew import ROWS_PER_SLICE, all_present, heavy_keys, profile_keys, salted_join
 
-#: Bounds under which the distinct keys of the left table are sent to every executor.
-SEMI_MAX_ROWS = 2_000_000
-SEMI_MAX_KEY_BYTES = 64 * 1024**2
+#: Up to this many left rows their key hashes are sent to every executor: eight bytes each, some 400 MB
+#: as a hash table.  A whole human genome has four to five million variants.
+SEMI_MAX_ROWS = 6_000_000
 
 #: Reducing the reference pays when it is at least this many times as long as the left table.
 SEMI_MIN_RATIO = 4
@@ -43,11 +43,21 @@ def _null_columns(left: DataFrame, schema: T.StructType, on: Sequence[str], suff
 
 
 def semi_reduce(reference: DataFrame, left: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Reference rows whose key occurs on the left, found without shuffling the reference.
+    """Reference rows whose key may occur on the left, found without shuffling the reference.
 
-    The distinct left keys are broadcast; callers check their size first.
+    The distinct 64-bit hashes of the left keys are broadcast; callers check the number of left rows
+    first.  Keys must have the same types on both sides.  A reference row that shares only the hash
+    passes too, and is sorted out by the join that follows.
     """
-    return reference.join(F.broadcast(left.select(*on).distinct()), list(on), "left_semi")
+    hashed = F.xxhash64(*on).alias("_key_hash")
+    wanted = left.filter(all_present(on)).select(hashed).distinct()
+    return (
+        reference.select("*", hashed).join(F.broadcast(wanted), "_key_hash", "left_semi").drop("_key_hash")
+    )
+
+
+def _same_key_types(left: DataFrame, reference: DataFrame, on: Sequence[str]) -> bool:
+    return all(left.select(c).schema[0].dataType == reference.select(c).schema[0].dataType for c in on)
 
 
 def annotate(
@@ -77,10 +87,10 @@ def annotate(
 
     ``strategy``:
 
-    * ``"semi"`` broadcasts the distinct left keys, reduces the reference to its hits where it is
+    * ``"semi"`` broadcasts hashes of the left keys, reduces the reference to its hits where it is
       read, and joins only those.  The reference is never shuffled.  Right for a sample against a
-      reference dataset.  A left table beyond ``SEMI_MAX_ROWS`` or ``SEMI_MAX_KEY_BYTES`` is joined
-      directly instead.
+      reference dataset.  A left table beyond ``SEMI_MAX_ROWS``, or one whose key types differ from
+      those of the reference, is joined directly instead.
     * ``"direct"`` is one shuffle join, for left tables as large as the reference.
     * ``"auto"`` takes ``"semi"`` when the reference is ``SEMI_MIN_RATIO`` times as long as the left
       table.  ``reference_rows`` is its length; without it the rows are counted.
@@ -118,13 +128,11 @@ def annotate(
         return left.join(right, on, how).select(*columns)
 
     rows = left.count() if skew or strategy != "direct" else None
-    if strategy != "direct":
-        worth_it = strategy == "semi"
-        if not worth_it and rows <= SEMI_MAX_ROWS:
-            theirs = reference.count() if reference_rows is None else reference_rows
-            worth_it = theirs >= SEMI_MIN_RATIO * rows
-        small = worth_it and rows <= SEMI_MAX_ROWS and key_bytes(left, on) <= SEMI_MAX_KEY_BYTES
-        strategy = "semi" if small else "direct"
+    if strategy != "direct" and (rows > SEMI_MAX_ROWS or not _same_key_types(left, reference, on)):
+        strategy = "direct"
+    if strategy == "auto":
+        theirs = reference.count() if reference_rows is None else reference_rows
+        strategy = "semi" if theirs >= SEMI_MIN_RATIO * rows else "direct"
     if strategy == "semi":
         right = semi_reduce(right, left, on)
 

@@ -16,7 +16,6 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Rows of one key that a single join task handles comfortably.
 ROWS_PER_SLICE = 1_000_000
@@ -42,23 +41,14 @@ class KeyProfile:
     heavy: tuple[int, ...]
 
 
-def _all_present(on: Sequence[str]) -> Column:
+def all_present(on: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in on])
 
 
-def key_bytes(df: DataFrame, on: Sequence[str]) -> int:
-    """Bytes in the key columns: text by its length, anything else as eight."""
-    text = [f.name for f in df.schema if f.name in on and isinstance(f.dataType, T.StringType)]
-    width = F.lit(8 * (len(on) - len(text))).cast("bigint")
-    for c in text:
-        width = width + F.coalesce(F.octet_length(c), F.lit(0))
-    return df.agg(F.sum(width)).first()[0] or 0
-
-
 def profile_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> KeyProfile:
     """Count rows and find keys above ``rows_per_slice``, in one job that reads only the key columns."""
     row = (
-        df.select(F.when(_all_present(on), F.xxhash64(*on)).alias("hash"))
+        df.select(F.when(all_present(on), F.xxhash64(*on)).alias("hash"))
         .agg(
             F.count("*").alias("rows"),
             F.count_if(F.col("hash").isNull()).alias("null_rows"),
@@ -75,7 +65,7 @@ def profile_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PE
 def _key_counts(df: DataFrame, on: Sequence[str], heavy: Sequence[int], name: str) -> DataFrame:
     """Exact row counts of the keys behind the heavy hashes, pre-aggregated before the shuffle."""
     return (
-        df.filter(_all_present(on) & F.xxhash64(*on).isin(list(heavy)))
+        df.filter(all_present(on) & F.xxhash64(*on).isin(list(heavy)))
         .groupBy(*on)
         .agg(F.count("*").alias(name))
     )
@@ -109,11 +99,13 @@ def heavy_keys(
         parts.append(n.select(*on, F.lit(1).alias("left_slices"), slices("_n").alias("right_slices")))
     if not parts:
         return None
-    return (
+    found = (
         reduce(DataFrame.unionByName, parts)
         .groupBy(*on)
         .agg(F.max("left_slices").alias("left_slices"), F.max("right_slices").alias("right_slices"))
     )
+    # Both sides of the join need the table, so it is computed once: MAX_HEAVY hashes bound each side.
+    return left.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def salted_join(
@@ -149,14 +141,14 @@ def salted_join(
         left = left.withColumns({n_left: F.lit(1), n_right: F.lit(1)})
         right = right.withColumns({n_left: F.lit(1), n_right: F.lit(1)})
     else:
-        # At most MAX_HEAVY hashes per side stand behind this table, so it is always small.
+        # At most MAX_HEAVY keys per side are in this table.
         few = F.broadcast(heavy.withColumnsRenamed({"left_slices": n_left, "right_slices": n_right}))
         ones = {n_left: F.coalesce(n_left, F.lit(1)), n_right: F.coalesce(n_right, F.lit(1))}
         left = left.join(few, on, "left").withColumns(ones)
         right = right.join(few, on, "left").withColumns(ones)
 
     position = F.monotonically_increasing_id()
-    dealt = F.when(~_all_present(on), F.pmod(position, F.lit(null_slices))).otherwise(
+    dealt = F.when(~all_present(on), F.pmod(position, F.lit(null_slices))).otherwise(
         F.pmod(position, F.col(n_left))
     )
     left = left.withColumn(ls, dealt.cast("int")).withColumn(
