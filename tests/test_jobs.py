@@ -102,6 +102,18 @@ def test_prepare_is_incremental(spark, tmp_path):
     assert third.converted == [] and third.split == []
 
 
+def test_file_without_records_is_converted_once(spark, tmp_path):
+    folder, out = tmp_path / "landing", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "homo_sapiens-chr2.vcf.gz").write_bytes(gzip.compress(HEADER.encode()))
+    first = prepare(spark, src.ensembl(), str(folder), out, split=True)
+    assert len(first.converted) == 1 and first.problems.isEmpty() and first.splits is None
+    (folder / "homo_sapiens-chrX.vcf.gz").write_bytes(gzip.compress(CHRX.encode()))
+    second = prepare(spark, src.ensembl(), str(folder), out, split=True)
+    assert len(second.converted) == 1 and second.problems.isEmpty() and second.split == ["homo_sapiens-chrX"]
+    assert prepare(spark, src.ensembl(), str(folder), out, split=True).converted == []
+
+
 def test_prepare_reports_problems(spark, tmp_path):
     folder = landing(tmp_path)
     remote = spark.createDataFrame(

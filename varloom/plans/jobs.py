@@ -22,6 +22,10 @@ from ..sources.storage import path_exists, qualified
 from ..sources.vcf import read_vcf, resolve_info
 
 
+#: Folder beside converted data that names inputs without records.  Spark skips it when it reads the data.
+EMPTY_SOURCES = "_empty_sources"
+
+
 def save_annotated(df: DataFrame, out: str | None, compression: str = "zstd") -> str:
     """Write an annotated table as Parquet and return its path."""
     if out is None:
@@ -103,6 +107,13 @@ def _written_partitions(spark: SparkSession, out: str, *columns: str) -> DataFra
     return files.select(*[partition_value("path", c).alias(c) for c in columns]).distinct()
 
 
+def _converted_sources(spark: SparkSession, out: str) -> DataFrame:
+    """``source_file`` of the inputs that have an output or are known to hold no rows."""
+    written = _written_partitions(spark, out, SOURCE_COLUMN)
+    empty = f"{out.rstrip('/')}/{EMPTY_SOURCES}"
+    return written.unionByName(spark.read.parquet(empty)) if path_exists(spark, empty) else written
+
+
 def convert_pending(
     spark: SparkSession,
     inputs: DataFrame,
@@ -115,11 +126,12 @@ def convert_pending(
     """Convert the VCF files of a catalog that have no output yet, all in one job.
 
     The output is partitioned by ``source_file``.  A file counts as converted when its partition
-    exists; partitions appear only when the job that writes them commits.  Returns the files converted.
+    exists; partitions appear only when the job that writes them commits.  Files without records leave no
+    partition and are noted beside the data.  Returns the files converted.
     """
     pending = inputs.select("path")
     if not overwrite:
-        pending = pending_conversions(inputs, _written_partitions(spark, out, SOURCE_COLUMN)).select("path")
+        pending = pending_conversions(inputs, _converted_sources(spark, out)).select("path")
     # One name per input file; Spark takes the paths to read as a list.
     paths = sorted(r["path"] for r in pending.collect())
     if paths:
@@ -128,6 +140,10 @@ def convert_pending(
         info = resolve_info(spark, every, info_fields)
         df = read_vcf(spark, paths, info, with_source=True, mode=mode, bgzf=bgzf)
         write_split(df, out, [SOURCE_COLUMN], layout="scan", replace_partitions=True)
+        done = spark.createDataFrame([(p,) for p in paths], "path string")
+        empty = pending_conversions(done, _converted_sources(spark, out)).select(SOURCE_COLUMN)
+        if not empty.isEmpty():
+            empty.write.mode("append").parquet(f"{out.rstrip('/')}/{EMPTY_SOURCES}")
     return paths
 
 
@@ -245,7 +261,7 @@ def prepare(
 
     if remote is None:
         remote = landed.select(F.col("path").alias("url"), F.col("size").alias("remote_size"))
-    written = _written_partitions(spark, variants, SOURCE_COLUMN)
+    written = _converted_sources(spark, variants)
     outputs = inputs.select(source_name("path").alias("path")).distinct()
     problems = reconcile(
         remote,
@@ -255,7 +271,7 @@ def prepare(
     )
 
     splits, done = None, []
-    if split:
+    if split and not _written_partitions(spark, variants, SOURCE_COLUMN).isEmpty():
         splits = f"{out.rstrip('/')}/splits"
         explode = preset.explode_snv_alt if explode_snv_alt is None else explode_snv_alt
         df = read_partitioned(spark, variants, partition_by=[SOURCE_COLUMN])
