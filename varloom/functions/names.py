@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Suffixes of index files that sit next to a VCF.
 INDEX_SUFFIXES = (".tbi", ".csi", ".idx")
 
+# Suffixes of VCF files, plain and compressed.
+VCF_SUFFIXES = (".vcf", ".vcf.gz", ".vcf.bgz")
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,17 +23,31 @@ def base_name(path: str | Column) -> Column:
 
 def percent_decoded(text: str | Column) -> Column:
     """Undo the ``%XX`` escapes of file metadata and partition directories; a plus sign stays."""
-    return F.url_decode(F.replace(_col(text), F.lit("+"), F.lit("%2B")))
+    col = _col(text)
+    return F.when(col.contains("%"), F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))).otherwise(col)
+
+
+def _without(name: Column, length: int | Column) -> Column:
+    return F.left(name, F.length(name) - length)
+
+
+def _has_suffix(name: Column) -> Column:
+    """There is a dot that is neither the first nor the last character of the name."""
+    tail = F.substring_index(name, ".", -1)
+    return (tail != "") & (F.length(tail) < F.length(name) - 1)
 
 
 def last_suffix(path: str | Column) -> Column:
     """The last suffix with its dot, or an empty string; a leading or trailing dot starts none."""
-    return F.regexp_extract(base_name(path), r"^.+(\.[^.]+)$", 1)
+    name = base_name(path)
+    return F.when(_has_suffix(name), F.concat(F.lit("."), F.substring_index(name, ".", -1))).otherwise("")
 
 
 def stem(path: str | Column) -> Column:
     """Base name without its last suffix."""
-    return F.regexp_replace(base_name(path), r"(?<=.)\.[^.]+$", "")
+    name = base_name(path)
+    tail = F.length(F.substring_index(name, ".", -1)) + 1
+    return F.when(_has_suffix(name), _without(name, tail)).otherwise(name)
 
 
 def is_index_file(path: str | Column) -> Column:
@@ -46,21 +63,27 @@ def is_parquet_file(path: str | Column) -> Column:
     return last_suffix(path) == ".parquet"
 
 
+def source_name(path: str | Column) -> Column:
+    """What the rows of a converted file are called: its base name without VCF suffixes.
+
+    Any other name loses its last suffix.  Plain string functions, because rows carry this name and it
+    is made for each of them.
+    """
+    name = base_name(path)
+    bare = stem(name)
+    for suffix in VCF_SUFFIXES:
+        n = len(suffix)
+        bare = F.when(name.endswith(suffix) & (F.length(name) > n), _without(name, n)).otherwise(bare)
+    return bare
+
+
 def default_parquet_name(path: str | Column) -> Column:
     """Output path for a VCF: ``.vcf``, ``.vcf.gz`` and ``.vcf.bgz`` give way to ``.parquet``.
 
     Any other name has its last suffix replaced, or ``.parquet`` added when it has none.
     """
     col = _col(path)
-    vcf = r"\.vcf(\.gz|\.bgz)?$"
-    return F.when(col.rlike(r"[^/]\.vcf(\.gz|\.bgz)?$"), F.regexp_replace(col, vcf, ".parquet")).otherwise(
-        F.concat(F.regexp_replace(col, r"(?<=[^/])\.[^./]+$", ""), F.lit(".parquet"))
-    )
-
-
-def source_name(path: str | Column) -> Column:
-    """What a converted file is called: the stem of its Parquet form."""
-    return stem(default_parquet_name(base_name(path)))
+    return F.concat(_without(col, F.length(base_name(col))), source_name(col), F.lit(".parquet"))
 
 
 def relative_path(path: str | Column, root: str) -> Column:

@@ -844,12 +844,10 @@ def convert_in_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_dir(spark, "convert_in_two_waves")
     v = t.variants(spark, sf_dir)
     landing = f"{out}/landing"
-    t.vcf_text(v).write.option("compression", "gzip").text(landing)
-    first = jobs.convert_pending(spark, file_catalog(spark, landing, r"\.txt\.gz$"), f"{out}/variants", t.VCF_INFO)
-    t.vcf_text(v.withColumn("chrom", F.concat("chrom", F.lit("_alt")))).write.mode("append").option(
-        "compression", "gzip"
-    ).text(landing)
-    second = jobs.convert_pending(spark, file_catalog(spark, landing, r"\.txt\.gz$"), f"{out}/variants", t.VCF_INFO)
+    t.vcf_text(v).write.text(landing)
+    first = jobs.convert_pending(spark, file_catalog(spark, landing, r"\.txt$"), f"{out}/variants", t.VCF_INFO)
+    t.vcf_text(v.withColumn("chrom", F.concat("chrom", F.lit("_alt")))).write.mode("append").text(landing)
+    second = jobs.convert_pending(spark, file_catalog(spark, landing, r"\.txt$"), f"{out}/variants", t.VCF_INFO)
     if set(first) & set(second):
         raise AssertionError("a file was converted twice")
     return spark.read.parquet(f"{out}/variants").drop("source_file")
