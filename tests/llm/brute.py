@@ -53,3 +53,24 @@ def near_duplicates(docs, percent, size=5):
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
     return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def repeated(units, window, seen):
+    """Which units of one document lie in a window that ``seen`` holds; adds its windows to ``seen``."""
+    gone = [False] * len(units)
+    for i in range(len(units) - window + 1):
+        key = tuple(units[i : i + window]) if isinstance(units, list) else units[i : i + window]
+        if key in seen:
+            gone[i : i + window] = [True] * window
+        seen.add(key)
+    return gone
+
+
+def substring_dedup(docs, window):
+    """``{doc_id: (n_words, n_removed, kept_sha256)}``."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        w = words(text)
+        gone = repeated(w, window, seen)
+        out[i] = (len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g)))
+    return out

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .minhash import near_duplicates
+from .substring import remove_repeats
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +30,10 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its component of near copies (85 percent of five-word shingles)."""
     return near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query()
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with what is left without its repeated 20-word windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, window=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
