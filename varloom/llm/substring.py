@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .places import (
     PLACES,
@@ -369,7 +370,7 @@ def remove_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     old = [c for c in docs.columns if c not in (*new, "text")]
     rows = docs.select(F.struct(*old).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = with_positions(rows, found, "left").select("row", F.col("text").cast("string").alias("text"), "positions")
-    schema = rows.select("row").schema.add("kept_text", "string").add("n_words", "long")
+    schema = T.StructType(list(rows.select("row").schema)).add("kept_text", "string").add("n_words", "long")
     schema = schema.add("n_removed", "long").add("kept_sha256", "string")
     out = rows.mapInArrow(_cut(window), schema)
     back = [F.col("kept_text").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c not in new]
