@@ -27,7 +27,9 @@ BANDS = 32
 MISS = 1e-6
 #: Members of a bucket that are compared by signature in one step.
 BLOCK = 512
-#: A signature comparison drops a pair only this many standard deviations below the threshold.
+#: Values of the signature that such comparisons use, one byte each.  They drop a pair only this many standard
+#: deviations below the threshold; a first look at every ``STRIDE``-th value drops the clear cases.
+SKETCH, STRIDE = 1024, 8
 SIGMAS = 4.0
 _SET_BITS = np.uint64(48)
 
@@ -118,8 +120,8 @@ def _describe(size: int, bins: int, rows: int, bands: int):
     return run
 
 
-def _full_sets(size: int, bins: int):
-    """Tasks: the full shingle set of every text (6 bytes a shingle), and its signature cut to one byte a value."""
+def _full_sets(size: int):
+    """Tasks: the full shingle set of every text (6 bytes a shingle), and a long signature of one byte a value."""
 
     def run(batches):
         for batch in batches:
@@ -127,7 +129,7 @@ def _full_sets(size: int, bins: int):
                 n = piece.num_rows
                 text, value = shingle_sets(*flat(piece.column("text")), size)
                 high, low = _set_hashes(text, value, n)
-                sig = (signatures(text, value, n, bins) & np.uint64(255)).astype(np.uint8)
+                sig = (signatures(text, value, n, SKETCH) & np.uint64(255)).astype(np.uint8)
                 packed = np.ascontiguousarray(value.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
                 ends = np.searchsorted(text, np.arange(n + 1)) * 6
                 yield pa.RecordBatch.from_arrays(
@@ -177,17 +179,21 @@ def _confirm(percent: int):
     return run
 
 
-def _compare(least: float, percent: int, bands: int):
+def _compare(percent: int, bands: int):
     """Tasks: of two blocks of a bucket, the pairs of different components whose signatures nearly reach the threshold.
 
     A pair counts only in the first of the buckets it shares.
     """
 
+    def least(values: int) -> float:
+        return values * percent / 100 - SIGMAS * math.sqrt(values * percent * (100 - percent)) / 100
+
     def run(table: pa.Table) -> pa.Table:
         node = np.array(table.column("rep"))
         comp, count, side = (np.array(table.column(c)) for c in ("component", "n_shingles", "side"))
         keys = np.array(table.column("keys").combine_chunks().flatten()).reshape(-1, bands)
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), SKETCH)
+        coarse = np.ascontiguousarray(sketch[:, ::STRIDE])
         band, same = int(table.column("band")[0].as_py()), bool(table.column("same")[0].as_py())
         rows = np.flatnonzero(side == 0)
         others = rows if same else np.flatnonzero(side == 1)
@@ -196,8 +202,9 @@ def _compare(least: float, percent: int, bands: int):
             j = others[node[others] > node[i]] if same else others
             small, large = np.minimum(count[j], count[i]), np.maximum(count[j], count[i])
             j = j[(comp[j] != comp[i]) & (100 * small >= percent * large)]
-            if len(j):
-                j = j[np.count_nonzero(sketch[j] == sketch[i], axis=1) >= least * sketch.shape[1]]
+            for values in (coarse, sketch):
+                if len(j):
+                    j = j[np.count_nonzero(values[j] == values[i], axis=1) >= least(values.shape[1])]
             if len(j) and band:
                 j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
             out_a.append(np.minimum(node[i], node[j]))
@@ -259,7 +266,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, bands:
 
     involved = kept(buckets.select("rep").distinct(), "involved").withColumnRenamed("rep", "doc_id")
     sets = only_ids(texts, involved, "doc_id").mapInArrow(
-        _full_sets(shingle, bins), "doc_id long, high long, low long, members binary, sketch binary"
+        _full_sets(shingle), "doc_id long, high long, low long, members binary, sketch binary"
     )
     of_class = classes.select(F.col("rep").alias("doc_id"), "high", "low")
     sets = kept(sets.join(of_class, ["doc_id", "high", "low"], "left_semi"), "sets")
@@ -288,9 +295,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, bands:
         .join(sets.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
         .select("key", "low_block", "high_block", "band", "same", "side", "rep", "component", "n_shingles", "keys", "sketch")
     )
-    least = threshold - SIGMAS * math.sqrt(threshold * (1 - threshold) / bins)
     late = rest.groupBy("key", "low_block", "high_block").applyInArrow(
-        _compare(least, percent, bands), "a long, b long"
+        _compare(percent, bands), "a long, b long"
     )
     late = _links(late.distinct(), sets, percent)
     final = components(links.union(late))
