@@ -65,11 +65,11 @@ def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of several texts: byte ``start`` and ``end`` of each, and ``first``, the first word of each text."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
         n = len(data)
         self.bytes = np.zeros(n + 16, np.uint8)
         self.bytes[:n] = data
-        inside = ~SPACE[data]
+        inside = ~space[data]
         opens, closes = inside.copy(), inside.copy()
         if n:
             heads = offsets[:-1][offsets[:-1] < n]
@@ -99,13 +99,16 @@ class Words:
         return hash_spans(self.bytes, self.start, self.end)
 
 
-def hash_spans(padded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; ``padded`` has at least 8 bytes more than the last span needs."""
+def hash_spans(padded: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = _LONG_WORD) -> np.ndarray:
+    """A 64-bit hash of each byte span; ``padded`` has at least 8 bytes more than the last span needs.
+
+    Spans of more than ``most`` bytes are hashed one by one.
+    """
     eights = np.ndarray((len(padded) - 8,), np.uint64, padded, strides=(1,))
     length = end - start
     h = mix(length.astype(np.uint64) + _ODD_A)
     live = np.arange(len(start))
-    for at in range(0, _LONG_WORD, 8):
+    for at in range(0, most, 8):
         if at:
             live = live[length[live] > at]
         if not len(live):
@@ -113,7 +116,7 @@ def hash_spans(padded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
         value = eights[start[live] + at] & _KEEP[np.minimum(length[live] - at, 8)]
         h[live] = mix((h[live] ^ value) * _ODD_A)
     raw = memoryview(padded)
-    for i in np.flatnonzero(length > _LONG_WORD):
+    for i in np.flatnonzero(length > most):
         digest = hashlib.blake2b(raw[start[i] : end[i]], digest_size=8).digest()
         h[i] = np.frombuffer(digest, np.uint64)[0]
     return h
