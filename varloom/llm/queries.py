@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from .minhash import near_duplicates
 from .quality import quality_rules
 from .substring import remove_repeats
 from .tables import table
+from .tokens import read_tokens, tokens_folder, write_tokens
 from .toxicity import fit, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,3 +140,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, labelled(spark, sf_dir))
     scored = toxicity(docs.select("doc_id", "text"), model, keep_text=False)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence_ids", "evidence_cosines")
+
+
+@query()
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's ids are in the Arrow files that were written, and their checksum as read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = write_tokens(docs, tokens_folder(spark), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_tokens(index)
