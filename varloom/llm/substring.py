@@ -36,9 +36,10 @@ from .places import (
 from .tables import kept
 from .text import Words, flat, rolling, slices
 
-PIECE = 16 << 20
+#: Bytes of text that are hashed, and that are cut, in one step.
+PIECE, CUT = 8 << 20, 2 << 20
 #: Bytes of text for each hash range, and the most ranges.
-RANGE = 32 << 20
+RANGE = 16 << 20
 MOST_RANGES = 1 << 16
 
 PACKED = "part int, docs binary, index_gaps binary, index_hashes binary, gaps binary, hashes binary"
@@ -289,7 +290,7 @@ def _cut(window: int):
         import hashlib
 
         for batch in batches:
-            for piece in slices(batch, "text", PIECE):
+            for piece in slices(batch, "text", CUT):
                 words = Words(*flat(piece.column("text")))
                 n_removed, digest, text = [], [], []
                 raw = words.bytes
