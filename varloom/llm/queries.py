@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .chat import conversation_digests, prefix_target_examples
 from .minhash import near_duplicates
+from .pages import main_text
 from .quality import quality_rules
 from .substring import remove_repeats
 from .tables import table
@@ -148,3 +149,9 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     index = write_tokens(docs, tokens_folder(spark), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read_tokens(index)
+
+
+@query()
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
