@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import conversation_digests, prefix_target_examples
+from .decontaminate import contamination
 from .minhash import near_duplicates
 from .pages import main_text
 from .quality import quality_rules
@@ -155,3 +156,9 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items or edited copies of them, with the alignment score."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
