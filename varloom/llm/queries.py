@@ -12,6 +12,7 @@ from .chat import conversation_digests, prefix_target_examples
 from .decontaminate import contamination
 from .minhash import near_duplicates
 from .pages import main_text
+from .pieces import piece_digests
 from .quality import quality_rules
 from .substring import remove_repeats
 from .tables import table
@@ -162,3 +163,9 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items or edited copies of them, with the alignment score."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document and whether decoding them gives the text back."""
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
