@@ -147,3 +147,42 @@ def rolling(h: np.ndarray, width: int) -> np.ndarray:
 def signed(x: np.ndarray) -> np.ndarray:
     """Hashes as Spark's signed 64-bit integers."""
     return x.view(np.int64)
+
+
+class Remembered:
+    """Ids of distinct words by their hashes, in plain arrays; at ``most`` words it forgets all and begins anew."""
+
+    def __init__(self, most: int, kind: type):
+        self.most, self.kind = most, kind
+        self._forget()
+
+    def _forget(self):
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.edges = np.zeros(0, self.kind), np.zeros(1, np.int64)
+
+    def numbers_of(self, distinct: np.ndarray, learn) -> np.ndarray:
+        """The number of each of the ascending hashes; ``learn`` gives ids and counts for the places it is asked for."""
+        at = np.searchsorted(self.hashes, distinct)
+        hit = np.zeros(len(distinct), bool)
+        inside = at < len(self.hashes)
+        hit[inside] = self.hashes[at[inside]] == distinct[inside]
+        new = np.flatnonzero(~hit)
+        if len(new) and len(self.hashes) + len(new) > self.most:
+            self._forget()
+            new, at = np.arange(len(distinct)), np.zeros(len(distinct), np.int64)
+        if len(new):
+            ids, counts = learn(new)
+            base = len(self.edges) - 1
+            self.flat = np.concatenate([self.flat, ids.astype(self.kind)])
+            self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(counts)])
+            self.hashes = np.insert(self.hashes, at[new], distinct[new])
+            self.numbers = np.insert(self.numbers, at[new], base + np.arange(len(new)))
+            at = np.searchsorted(self.hashes, distinct)
+        return self.numbers[at]
+
+    def ids_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the numbered words one after the other, and how many each has."""
+        size = self.edges[numbers + 1] - self.edges[numbers]
+        total = np.cumsum(size)
+        place = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(self.edges[numbers] - (total - size), size)
+        return self.flat[place], size

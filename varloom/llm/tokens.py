@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import scratch_dir
 from .tables import kept
-from .text import LOWER, Words, flat, hash_spans, slices
+from .text import LOWER, Remembered, Words, flat, hash_spans, slices
 
 #: Ids of a sequence, and sequences of a batch.
 SEQUENCE, BATCH = 2048, 512
 #: Bytes of text of a file.
 FILE_BYTES = 64 << 20
 #: Words a task remembers the ids of, before it forgets all.
-REMEMBERED = 4_000_000
+REMEMBERED = 1_500_000
 
 INDEX = "doc_id long, part int, path string, first long, n_tokens long"
 
@@ -47,27 +47,15 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.lower = lower
-        self._forget()
+        self.known = Remembered(REMEMBERED, np.uint32)
 
-    def _forget(self):
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.ends = [0]
-
-    def _learn(self, hashes: list[int], words: list[str]):
-        if len(self.known) + len(words) > REMEMBERED:
-            self._forget()
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = [], []
         for begin in range(0, len(words), 20_000):
             some = [e.ids for e in self.tokenizer.encode_batch(words[begin : begin + 20_000], add_special_tokens=False)]
-            total = self.ends[-1] + sum(map(len, some))
-            if total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(max(total, len(self.flat)), np.uint32)])
-            at = self.ends[-1]
-            self.flat[at:total] = np.fromiter((i for ids in some for i in ids), np.uint32, total - at)
-            for h, ids in zip(hashes[begin : begin + 20_000], some):
-                at += len(ids)
-                self.known[h] = len(self.ends) - 1
-                self.ends.append(at)
+            counts.append(np.fromiter(map(len, some), np.int64, len(some)))
+            ids.append(np.fromiter((i for x in some for i in x), np.uint32, int(counts[-1].sum())))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has."""
@@ -97,22 +85,14 @@ class Encoder:
         text_of[at[tail] + 1] = text_of[at[tail]]
 
         distinct, first, which = np.unique(hash_spans(body, begins, ends), return_index=True, return_inverse=True)
-        names = distinct.tolist()
-        new = [k for k, h in enumerate(names) if h not in self.known]
-        if new:
-            raw = body.tobytes()
-            if len(self.known) + len(new) > REMEMBERED:
-                self._forget()
-                new = range(len(names))
-            self._learn([names[k] for k in new], [raw[begins[first[k]] : ends[first[k]]].decode() for k in new])
-        number = np.fromiter((self.known[h] for h in names), np.int64, len(names))
-        edges = np.array(self.ends, np.int64) if len(self.ends) != len(getattr(self, "edges", ())) else self.edges
-        self.edges = edges
-        number = number[which]
-        size = edges[number + 1] - edges[number]
-        total = np.cumsum(size)
-        place = np.arange(int(total[-1])) + np.repeat(edges[number] - (total - size), size)
-        return self.flat[place], np.bincount(text_of, weights=size, minlength=len(texts)).astype(np.int64)
+        raw = body.tobytes()
+
+        def learn(new: np.ndarray):
+            return self._learn([raw[begins[i] : ends[i]].decode() for i in first[new]])
+
+        numbers = self.known.numbers_of(distinct, learn)
+        ids, size = self.known.ids_of(numbers[which])
+        return ids, np.bincount(text_of, weights=size, minlength=len(texts)).astype(np.int64)
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -185,6 +165,15 @@ def _press(batches):
         )
 
 
+def _opened(batch, press):
+    """Portions of a batch with their texts as they were."""
+    for begin in range(0, batch.num_rows, 512):
+        some = batch.slice(begin, 512)
+        texts = pa.array([press.decompress(t).decode() for t in some.column("text").to_pylist()], pa.large_string())
+        columns = [some.column("doc_id"), some.column("part"), texts]
+        yield from slices(pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "text"]), "text", 4 << 20)
+
+
 def _write(folder: str, tokenizer: str, lower: bool, end_id: int):
     """Tasks: rows ordered by part and doc_id become files; a row of ``INDEX`` for each document."""
 
@@ -195,9 +184,7 @@ def _write(folder: str, tokenizer: str, lower: bool, end_id: int):
         writer, part, first = None, None, 0
         for batch in batches:
             press = zstandard.ZstdDecompressor()
-            texts = pa.array([press.decompress(t).decode() for t in batch.column("text").to_pylist()], pa.large_string())
-            whole = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("part"), texts], ["doc_id", "part", "text"])
-            for piece in slices(whole, "text"):
+            for piece in _opened(batch, press):
                 ids, counts = encode.encode(piece.column("text"))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id)
