@@ -74,3 +74,14 @@ def substring_dedup(docs, window):
         gone = repeated(w, window, seen)
         out[i] = (len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g)))
     return out
+
+
+def byte_dedup(docs, window):
+    """``{doc_id: (n_bytes, n_removed, n_spans, kept_sha256)}``."""
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        raw = (text or "").encode()
+        gone = repeated(raw, window, seen)
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        out[i] = (len(raw), sum(gone), spans, sha(bytes(b for b, g in zip(raw, gone) if not g)))
+    return out

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bwt import remove_repeated_bytes
 from .chat import conversation_digests, prefix_target_examples
 from .decontaminate import contamination
 from .minhash import near_duplicates
@@ -169,3 +170,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document and whether decoding them gives the text back."""
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with what is left without its repeated 100-byte strings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = remove_repeated_bytes(docs, window=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
