@@ -73,15 +73,15 @@ def signatures(text: np.ndarray, value: np.ndarray, n_texts: int, bins: int) ->
     filled = np.zeros(n_texts * bins, bool)
     out[place[heads]], filled[place[heads]] = value[heads], True
     out, filled = out.reshape(n_texts, bins), filled.reshape(n_texts, bins)
-    original, open_ = filled.copy(), ~filled & filled.any(axis=1, keepdims=True)
+    row, place = np.nonzero(~filled & filled.any(axis=1, keepdims=True))
     attempt = 0
-    while open_.any():
+    while len(row):
         attempt += 1
         draw = mix(np.arange(bins, dtype=np.uint64) + np.uint64(attempt * 1_000_003)) % np.uint64(bins)
-        draw = draw.astype(np.int64)
-        take = open_ & original[:, draw]
-        out[take] = out[:, draw][take]
-        open_ &= ~take
+        source = draw.astype(np.int64)[place]
+        hit = filled[row, source]
+        out[row[hit], place[hit]] = out[row[hit], source[hit]]
+        row, place = row[~hit], place[~hit]
     return out
 
 
