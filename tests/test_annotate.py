@@ -173,7 +173,9 @@ def test_semi_strategy_does_not_shuffle_the_reference(spark, left, tmp_path):
 def test_key_types_that_differ(spark, left, right):
     """Hashes of an int and a bigint differ, so such keys are compared by value."""
     narrow = left.withColumn("start", F.col("start").cast("int"))
-    df = op.annotate(narrow, right, strategy="semi")
+    with pytest.raises(ValueError):
+        op.annotate(narrow, right, strategy="semi")
+    df = op.annotate(narrow, right)
     assert "LeftSemi" not in df._jdf.queryExecution().executedPlan().toString()
     assert rows(df) == sorted(EXPECTED, key=repr)
 
@@ -203,12 +205,29 @@ def test_bucketed_reference_is_not_shuffled(spark, left, right, tmp_path):
         spark.sql("DROP TABLE bucketed_reference")
 
 
-def test_semi_falls_back_beyond_its_bounds(left, right, monkeypatch):
-    import sys
-
-    module = sys.modules["varloom.operators.annotate"]
-
-    monkeypatch.setattr(module, "SEMI_MAX_ROWS", 1)
-    df = op.annotate(left, right, strategy="semi")
+def test_semi_is_refused_beyond_its_bounds(left, right):
+    with pytest.raises(ValueError):
+        op.annotate(left, right, strategy="semi", semi_max_rows=1)
+    df = op.annotate(left, right, semi_max_rows=1, semi_min_ratio=0)
     assert "LeftSemi" not in df._jdf.queryExecution().executedPlan().toString()
     assert rows(df) == sorted(EXPECTED, key=repr)
+
+
+def test_every_heavy_key_is_found(spark):
+    """More heavy keys than any sketch would track."""
+    df = spark.range(30_000).select((F.col("id") % 3000).alias("k"))
+    assert len(op.profile_keys(df, ["k"], 9).heavy) == 3000
+    assert not op.profile_keys(df, ["k"], 10).heavy
+
+
+def test_dealt_input_is_repeatable(spark, tmp_path):
+    """Rows that come out of a shuffle are written before they are dealt by their position."""
+    from varloom.operators.skew import repeatable
+
+    spark.range(100).write.parquet(str(tmp_path / "p"))
+    scan = spark.read.parquet(str(tmp_path / "p")).filter("id > 3")
+    assert repeatable(scan) is scan
+    shuffled = scan.groupBy((F.col("id") % 7).alias("k")).count()
+    written = repeatable(shuffled)
+    assert written is not shuffled and rows(written) == rows(shuffled)
+    assert "Relation" in written._jdf.queryExecution().optimizedPlan().toString()

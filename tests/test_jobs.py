@@ -199,7 +199,6 @@ def test_order_and_filters(spark):
     df = spark.createDataFrame([("10", 5), ("2", 6), ("X", 7), ("MT", 8), ("1", 9)], "chrom string, start bigint")
     assert [r["chrom"] for r in op.natural_order(df).collect()] == ["1", "2", "10", "MT", "X"]
     assert src.chromosome_list(df) == ["1", "2", "10", "MT", "X"]
-    assert src.chromosome_list(df, most=3) is None
     assert rows(op.region(df, 6, 8), "start") == [(6,), (7,), (8,)]
     assert op.region(df, 6, 8, "X").count() == 1
     assert [r["start"] for r in op.head(df, 2, "start").collect()] == [5, 6]
@@ -212,3 +211,50 @@ def test_region_is_pushed_to_the_scan(spark, tmp_path):
     df = op.region(spark.read.parquet(str(tmp_path / "p")), 3, 5, "1").select("start")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(start,3)" in plan and "LessThanOrEqu" in plan and "other" not in plan
+
+
+def test_many_chromosomes_change_nothing(spark, tmp_path, reference):
+    """As many unknown names as you like: a reference without data leaves the input as it is."""
+    for n in (10, 12_000):
+        (tmp_path / f"{n}.vcf").write_text(vcf(*[(f"ctg{i}", 10, "A", "C", "SNV") for i in range(n)]))
+        df = annotate_vcf(spark, str(tmp_path / f"{n}.vcf"), reference)
+        assert "id_ensembl" not in df.columns and df.count() == n
+    (tmp_path / "known.vcf").write_text(vcf(*[(f"ctg{i}", 10, "A", "C", "SNV") for i in range(500)], ("1", 10, "A", "C,G", "SNV")))
+    df = annotate_vcf(spark, str(tmp_path / "known.vcf"), reference)
+    assert df.filter("id_ensembl IS NOT NULL").count() == 1
+
+
+def test_reference_layouts(spark, tmp_path):
+    data = spark.createDataFrame([("1", 10, "A", "C", "x")], "chrom string, start bigint, ref string, alt string, clnsig string")
+    data.write.parquet(str(tmp_path / "c/data/clinvar.parquet"))
+    data.write.parquet(str(tmp_path / "t/SNV/chr1.parquet"))
+    data.write.parquet(str(tmp_path / "t/deletion/chr1.parquet"))
+    assert src.open_reference(spark, str(tmp_path / "c"), None).count() == 1
+    assert src.open_reference(spark, str(tmp_path / "t"), None).count() == 2
+    assert src.open_reference(spark, str(tmp_path / "t"), "SNV", ["2"]) is None
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "none").mkdir()
+        src.open_reference(spark, str(tmp_path / "none"), None)
+
+
+def test_line_ends_do_not_depend_on_packing(spark, tmp_path):
+    from .test_vcf import bgzf
+
+    text = (HEADER + CHR1.replace(HEADER, "")).replace("\n", "\r").encode()
+    (tmp_path / "a.vcf").write_bytes(text)
+    (tmp_path / "b.vcf.gz").write_bytes(gzip.compress(text))
+    (tmp_path / "c.vcf.gz").write_bytes(bgzf(text, 40))
+    found = [rows(src.read_vcf(spark, str(tmp_path / n), [InfoField("TSA")])) for n in ("a.vcf", "b.vcf.gz", "c.vcf.gz")]
+    assert len(found[0]) == 2 and found[0] == found[1] == found[2]
+
+
+def test_stream_of_a_real_folder(spark, tmp_path):
+    folder = landing(tmp_path)
+    (folder / "README").unlink()
+    stream = stream_vcf(spark, str(folder), [InfoField("TSA")])
+    ingest(stream, str(tmp_path / "o"), str(tmp_path / "k")).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 2
+    (folder / "x.vcf.bgz").write_bytes(gzip.compress(CHRX.encode()))
+    with pytest.raises(Exception, match="bgz"):
+        stream = stream_vcf(spark, str(folder), [InfoField("TSA")], mode="permissive")
+        ingest(stream, str(tmp_path / "o2"), str(tmp_path / "k2")).awaitTermination(120)

@@ -12,11 +12,11 @@ from ..functions import alt_alleles, bare_chrom
 from ..schema import KEYS
 from .skew import ROWS_PER_SLICE, all_present, heavy_keys, profile_keys, salted_join
 
-#: Up to this many left rows their key hashes are sent to every executor: eight bytes each, some 400 MB
-#: as a hash table.  A whole human genome has four to five million variants.
+#: Default of ``semi_max_rows``: up to this many left rows their key hashes are sent to every executor, eight bytes
+#: each, some 400 MB as a hash table.  A whole human genome has four to five million variants.
 SEMI_MAX_ROWS = 6_000_000
 
-#: Reducing the reference pays when it is at least this many times as long as the left table.
+#: Default of ``semi_min_ratio``: reducing the reference pays when it is this many times as long as the left table.
 SEMI_MIN_RATIO = 4
 
 
@@ -42,13 +42,22 @@ def _null_columns(left: DataFrame, schema: T.StructType, on: Sequence[str], suff
     ]
 
 
-def semi_reduce(reference: DataFrame, left: DataFrame, on: Sequence[str]) -> DataFrame:
+def semi_reduce(
+    reference: DataFrame,
+    left: DataFrame,
+    on: Sequence[str],
+    max_rows: int = SEMI_MAX_ROWS,
+    rows: int | None = None,
+) -> DataFrame:
     """Reference rows whose key may occur on the left, found without shuffling the reference.
 
-    The distinct 64-bit hashes of the left keys are broadcast; callers check the number of left rows
-    first.  Keys must have the same types on both sides.  A reference row that shares only the hash
-    passes too, and is sorted out by the join that follows.
+    The distinct 64-bit hashes of the left keys are broadcast.  ``rows`` is the number of left rows, counted when
+    it is not given; more than ``max_rows`` raise.  Keys must have the same types on both sides.  A reference row
+    that shares only the hash passes too, and is sorted out by the join that follows.
     """
+    rows = left.count() if rows is None else rows
+    if rows > max_rows:
+        raise ValueError(f"{rows} left rows are too many to broadcast their keys; semi_max_rows is {max_rows}")
     hashed = F.xxhash64(*on).alias("_key_hash")
     wanted = left.filter(all_present(on)).select(hashed).distinct()
     return (
@@ -75,6 +84,9 @@ def annotate(
     strip_chr_prefix: bool = False,
     explode_alt: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    semi_max_rows: int = SEMI_MAX_ROWS,
+    semi_min_ratio: float = SEMI_MIN_RATIO,
+    left_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``reference`` on ``on``.
 
@@ -89,11 +101,13 @@ def annotate(
 
     * ``"semi"`` broadcasts hashes of the left keys, reduces the reference to its hits where it is
       read, and joins only those.  The reference is never shuffled.  Right for a sample against a
-      reference dataset.  A left table beyond ``SEMI_MAX_ROWS``, or one whose key types differ from
-      those of the reference, is joined directly instead.
+      reference dataset.  A left table of more than ``semi_max_rows`` rows, or one whose key types differ from
+      those of the reference, raises.
     * ``"direct"`` is one shuffle join, for left tables as large as the reference.
-    * ``"auto"`` takes ``"semi"`` when the reference is ``SEMI_MIN_RATIO`` times as long as the left
-      table.  ``reference_rows`` is its length; without it the rows are counted.
+    * ``"auto"`` takes ``"semi"`` when that is possible and the reference is ``semi_min_ratio`` times as long as
+      the left table.
+
+    ``left_rows`` and ``reference_rows`` are the lengths of the tables; what is not given is counted, once.
 
     ``skew="auto"`` measures both sides for keys above ``rows_per_slice`` rows and spreads them;
     ``None`` leaves it to adaptive execution.  ``unique_reference=True`` states that no reference key
@@ -127,25 +141,33 @@ def annotate(
     if left.isStreaming or reference.isStreaming:
         return left.join(right, on, how).select(*columns)
 
-    rows = left.count() if skew or strategy != "direct" else None
-    if strategy != "direct" and (rows > SEMI_MAX_ROWS or not _same_key_types(left, reference, on)):
-        strategy = "direct"
+    same_types = _same_key_types(left, reference, on)
+    if strategy == "semi" and not same_types:
+        raise ValueError("the keys have other types in the reference; cast them or use strategy='direct'")
+    rows = left_rows
+    if rows is None and (skew or strategy != "direct"):
+        rows = left.count()
+    theirs = reference_rows
     if strategy == "auto":
-        theirs = reference.count() if reference_rows is None else reference_rows
-        strategy = "semi" if theirs >= SEMI_MIN_RATIO * rows else "direct"
+        strategy = "direct"
+        if same_types and rows <= semi_max_rows:
+            theirs = reference.count() if theirs is None else theirs
+            strategy = "semi" if theirs >= semi_min_ratio * rows else "direct"
     if strategy == "semi":
-        right = semi_reduce(right, left, on)
+        right = semi_reduce(right, left, on, semi_max_rows, rows)
 
     heavy, null_slices = None, 1
     if skew:
         # A table of fewer rows than a slice has no heavy key.
         mine = profile_keys(left, on, rows_per_slice) if rows > rows_per_slice else None
-        theirs = None
-        if not unique_reference and (strategy == "semi" or right.count() > rows_per_slice):
-            theirs = profile_keys(right, on, rows_per_slice)
-        heavy = heavy_keys(left, right, on, mine, theirs, rows_per_slice)
+        other = None
+        if not unique_reference:
+            theirs = reference.count() if theirs is None else theirs
+            if theirs > rows_per_slice:
+                other = profile_keys(right, on, rows_per_slice)
+        heavy = heavy_keys(left, right, on, mine, other, rows_per_slice)
         if how == "left" and mine is not None:
-            null_slices = -(-mine.null_rows // rows_per_slice)
+            null_slices = max(1, -(-mine.null_rows // rows_per_slice))
     return salted_join(left, right, on, how, heavy, null_slices).select(*columns)
 
 

@@ -1,9 +1,8 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-``profile_keys`` finds heavy keys in one pass over the key columns.  Its sketch is merged from one
-small state per partition, so no key is shuffled.  ``salted_join`` then spreads the rows of those
-keys over many tasks.  The sketch decides only *which* keys are spread: the joined rows are the same
-whatever it reports.
+``profile_keys`` finds heavy keys exactly: it counts rows per 64-bit key hash, combined before the shuffle, and
+keeps the hashes above the limit.  ``salted_join`` then spreads the rows of those keys over many tasks.  The joined
+rows are the same whatever is spread.
 """
 
 from __future__ import annotations
@@ -17,23 +16,18 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import scratch_dir
+
 #: Rows of one key that a single join task handles comfortably.
 ROWS_PER_SLICE = 1_000_000
 
-#: A key lighter than one row in ``TRACKED_SHARE`` is never worth spreading: with fewer partitions
-#: than that it is smaller than a partition, with more the sketch still tracks everything heavier.
-TRACKED_SHARE = 1024
-
-#: At most this many keys can each be heavier than the tracked share.
-MAX_HEAVY = TRACKED_SHARE
-
 
 @dataclass(frozen=True)
 class KeyProfile:
     """How the rows of a table spread over its keys.
 
     ``null_rows`` counts rows with a null in any key; they match nothing.  ``heavy`` holds 64-bit
-    hashes of the keys above the measured weight.
+    hashes of the keys above the limit, at most ``rows / limit`` of them.
     """
 
     rows: int
@@ -47,28 +41,21 @@ def all_present(on: Sequence[str]) -> Column:
 
 def profile_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> KeyProfile:
     """Count rows and find keys above ``rows_per_slice``, in one job that reads only the key columns."""
-    row = (
-        df.select(F.when(all_present(on), F.xxhash64(*on)).alias("hash"))
-        .agg(
-            F.count("*").alias("rows"),
-            F.count_if(F.col("hash").isNull()).alias("null_rows"),
-            F.expr(f"approx_top_k(hash, {MAX_HEAVY}, {4 * TRACKED_SHARE})").alias("top"),
-        )
-        .first()
-    )
-    heavy = tuple(
-        item["item"] for item in (row["top"] or []) if item["item"] is not None and item["count"] > rows_per_slice
-    )
-    return KeyProfile(row["rows"], row["null_rows"], heavy)
+    counts = df.select(F.when(all_present(on), F.xxhash64(*on)).alias("hash")).groupBy("hash").agg(F.count("*").alias("n"))
+    null = F.col("hash").isNull()
+    row = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_rows"),
+        F.collect_list(F.when(~null & (F.col("n") > rows_per_slice), F.col("hash"))).alias("heavy"),
+    ).first()
+    return KeyProfile(row["rows"], row["null_rows"], tuple(row["heavy"]))
 
 
 def _key_counts(df: DataFrame, on: Sequence[str], heavy: Sequence[int], name: str) -> DataFrame:
     """Exact row counts of the keys behind the heavy hashes, pre-aggregated before the shuffle."""
-    return (
-        df.filter(all_present(on) & F.xxhash64(*on).isin(list(heavy)))
-        .groupBy(*on)
-        .agg(F.count("*").alias(name))
-    )
+    hashes = df.sparkSession.createDataFrame([(h,) for h in heavy], "_key_hash long")
+    hashed = df.filter(all_present(on)).select(*on, F.xxhash64(*on).alias("_key_hash"))
+    return hashed.join(F.broadcast(hashes), "_key_hash", "left_semi").groupBy(*on).agg(F.count("*").alias(name))
 
 
 def heavy_keys(
@@ -81,14 +68,14 @@ def heavy_keys(
 ) -> DataFrame | None:
     """A table of the heavy keys with the number of slices for each side, or None without any.
 
-    A side without a profile is taken to have no heavy keys.
+    A side without a profile is taken to have no heavy keys.  A key of n rows has ``n / rows_per_slice``
+    slices, rounded up, however many that are.
 
     ``right_slices`` above one means that the key is known to occur on the right.
     """
-    most = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def slices(n: str) -> Column:
-        return F.least(F.lit(most), F.ceil(F.col(n) / rows_per_slice).cast("int"))
+        return F.ceil(F.col(n) / rows_per_slice).cast("int")
 
     parts = []
     if left_profile is not None and left_profile.heavy:
@@ -104,10 +91,34 @@ def heavy_keys(
         .groupBy(*on)
         .agg(F.max("left_slices").alias("left_slices"), F.max("right_slices").alias("right_slices"))
     )
-    # Both sides of the join need the table, so it is computed once: MAX_HEAVY hashes bound each side.
+    # Both sides of the join need the table, so it is computed once: rows / rows_per_slice bounds each side.
     return left.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
+#: Plan nodes above a scan that leave the order of rows as it is.
+_IN_ORDER = ("Project", "Filter", "Union", "Relation", "LogicalRDD", "LocalRelation", "Range", "Generate")
+
+
+def repeatable(df: DataFrame) -> DataFrame:
+    """``df`` if its rows come back in the same order when a task is run again, else a written copy of it.
+
+    Rows straight from a scan do, and so does everything if Spark repeats whatever depended on another order.
+    Rows that come out of a shuffle need not; they are written to the folder in ``spark.checkpoint.dir`` first.
+    """
+    spark = df.sparkSession
+    full_retry = "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch"
+    checksum = "spark.sql.shuffle.orderIndependentChecksum.enabled"
+    if all(spark.conf.get(c, "false").lower() == "true" for c in (full_retry, checksum)):
+        return df
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    names = [line.lstrip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines() if line.strip()]
+    if all(n.startswith(_IN_ORDER) for n in names):
+        return df
+    path = scratch_dir(spark, "repeatable")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -124,10 +135,9 @@ def salted_join(
     the key is known to exist on the right.  Left rows with a null key match nothing and are dealt
     over ``null_slices``.
 
-    Rows are dealt by their position in the input partition, so equal rows are separated too.  Scans
-    and written tables keep their row order when a lost task is run again.  For inputs that come out of a
-    shuffle, ``spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch`` makes Spark repeat
-    what depended on another order.
+    Rows are dealt by their position in the input partition, so equal rows are separated too.  A task that
+    is run again must therefore see them in the same order: a side that is dealt goes through
+    ``repeatable``.  With more slices than shuffle partitions the join gets a partition for each slice.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -135,13 +145,27 @@ def salted_join(
     if heavy is None and null_slices <= 1:
         return left.join(right, on, how)
 
+    most = {"left_slices": 1, "right_slices": 1}
+    total = null_slices
+    if heavy is not None:
+        sums = heavy.agg(
+            F.max("left_slices").alias("left_slices"),
+            F.max("right_slices").alias("right_slices"),
+            F.sum(F.col("left_slices") * F.col("right_slices")).alias("cells"),
+        ).first()
+        most, total = sums.asDict(), total + sums["cells"]
+    if null_slices > 1 or most["left_slices"] > 1:
+        left = repeatable(left)
+    if most["right_slices"] > 1:
+        right = repeatable(right)
+
     tag = uuid.uuid4().hex[:8]
     ls, rs, hit, n_left, n_right = (f"_{n}_{tag}" for n in ("ls", "rs", "hit", "nl", "nr"))
     if heavy is None:
         left = left.withColumns({n_left: F.lit(1), n_right: F.lit(1)})
         right = right.withColumns({n_left: F.lit(1), n_right: F.lit(1)})
     else:
-        # At most MAX_HEAVY keys per side are in this table.
+        # Each side adds at most its rows / rows_per_slice keys.
         few = F.broadcast(heavy.withColumnsRenamed({"left_slices": n_left, "right_slices": n_right}))
         ones = {n_left: F.coalesce(n_left, F.lit(1)), n_right: F.coalesce(n_right, F.lit(1))}
         left = left.join(few, on, "left").withColumns(ones)
@@ -160,6 +184,8 @@ def salted_join(
         .withColumn(hit, F.lit(True))
         .drop(n_left, n_right)
     )
+    if total > int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        left, right = (df.repartition(total, *[F.col(c) for c in (*on, ls, rs)]) for df in (left, right))
     joined = left.join(right, [*on, ls, rs], how)
     if how == "left":
         joined = joined.filter(F.col(hit).isNotNull() | (F.col(n_right) == 1))

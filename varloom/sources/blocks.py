@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from .catalog import file_catalog
 from .storage import task_opener
 
-#: Compressed bytes per task; variant text unpacks to some five to ten times as much.
+#: Compressed bytes per task; variant text unpacks to some five to ten times as much.  Pieces grow with the input, so
+#: that there are at most ``MOST_PIECES`` of them.
 SPLIT_BYTES = 16 * 1024**2
+MOST_PIECES = 100_000
 
 
 def _reader():
@@ -111,6 +113,9 @@ def _reader():
             rows = zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop", "size")))
             for path, start, stop, size in rows:
                 for chunk in line_chunks(path, start, stop, size):
+                    # Lines end as in the text source: at LF, CR LF or CR.
+                    if b"\r" in chunk:
+                        chunk = chunk.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
                     ends = np.flatnonzero(np.frombuffer(chunk, np.uint8) == 10) + 1
                     if not chunk.endswith(b"\n"):
                         ends = np.append(ends, len(chunk))
@@ -158,6 +163,10 @@ def read_block_lines(spark: SparkSession, paths: str | Sequence[str], split_byte
 
     The files must lie on a file system that Arrow can open from the executors.
     """
-    splits = block_splits(file_catalog(spark, paths, recursive=False), split_bytes)
-    n = max(1, splits.count())
-    return splits.repartition(n).mapInArrow(_reader(), "value string, path string")
+    files = file_catalog(spark, paths, recursive=False).select("path", "size")
+    total = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("files")).first()
+    split_bytes = max(split_bytes, total["bytes"] // MOST_PIECES)
+    n = max(1, min(MOST_PIECES, total["bytes"] // split_bytes + total["files"]))
+    # By range, so that the pieces spread evenly over the tasks.
+    spread = block_splits(files, split_bytes).repartitionByRange(n, "path", "start")
+    return spread.mapInArrow(_reader(), "value string, path string")

@@ -16,17 +16,14 @@ from pyspark.sql import types as T
 
 from ..functions import base_name
 from ..schema import TYPE_COLUMN
-from .catalog import list_paths
+from .catalog import file_catalog, list_paths, partition_value
 from .storage import folder_names, path_exists
 
 # Names of a chromosome's file in the folder layout, in the order they are tried.
 CHROM_FILE_NAMES = ("homo_sapiens-chr{}.parquet", "chr{}.parquet", "{}.parquet")
 
-#: More distinct chromosome names than this are not used for pruning; the join is the same without.
-MAX_PRUNING_CHROMS = 10_000
-
-#: Likewise for ranges of positions, which make a longer predicate.
-MAX_RANGES = 200
+#: Ranges of positions in the predicate that prunes.  More chromosomes than that share the hull of their ranges.
+RANGE_GROUPS = 200
 
 
 def chromosomes(df: DataFrame) -> DataFrame:
@@ -47,10 +44,10 @@ def chromosomes(df: DataFrame) -> DataFrame:
     )
 
 
-def chromosome_list(df: DataFrame, most: int = MAX_PRUNING_CHROMS) -> list[str] | None:
-    """The non-null chromosomes as a list, or None when there are more than ``most``."""
-    rows = chromosomes(df.filter(F.col("chrom").isNotNull())).select("chrom").limit(most + 1).collect()
-    return None if len(rows) > most else [r["chrom"] for r in rows]
+def chromosome_list(df: DataFrame) -> list[str]:
+    """The non-null chromosomes, one name per contig of the assembly."""
+    rows = chromosomes(df.filter(F.col("chrom").isNotNull())).select("chrom").collect()
+    return [r["chrom"] for r in rows]
 
 
 def prune(
@@ -71,22 +68,31 @@ def prune(
     return reference
 
 
-def position_ranges(df: DataFrame, most: int = MAX_RANGES) -> dict[str, tuple[int, int]] | None:
-    """First and last position per chromosome, or None when there are more than ``most`` chromosomes."""
-    known = df.filter(F.col("chrom").isNotNull() & F.col("start").isNotNull())
-    rows = known.groupBy("chrom").agg(F.min("start").alias("lo"), F.max("start").alias("hi")).limit(most + 1).collect()
-    return None if len(rows) > most else {r["chrom"]: (r["lo"], r["hi"]) for r in rows}
+def position_ranges(df: DataFrame) -> dict[str, tuple[int | None, int | None]]:
+    """First and last position per chromosome, one entry per contig of the assembly; None without a position."""
+    known = df.filter(F.col("chrom").isNotNull())
+    rows = known.groupBy("chrom").agg(F.min("start").alias("lo"), F.max("start").alias("hi")).collect()
+    return {r["chrom"]: (r["lo"], r["hi"]) for r in rows}
 
 
-def within_ranges(reference: DataFrame, ranges: dict[str, tuple[int, int]] | None) -> DataFrame:
-    """Reference rows inside the ranges.
+def within_ranges(reference: DataFrame, ranges: dict[str, tuple[int | None, int | None]] | None) -> DataFrame:
+    """Reference rows inside the ranges, and with very many chromosomes some more of the same chromosomes.
 
     A join on chromosome and position finds the same matches.  On a reference sorted by position the
-    scan skips the row groups outside, which for a gene panel is nearly all of them.
+    scan skips the row groups outside, which for a gene panel is nearly all of them.  Up to ``RANGE_GROUPS``
+    chromosomes have a range of their own; more are gathered in groups of like ranges under their common hull.
     """
     if not ranges:
         return reference
-    inside = [(F.col("chrom") == c) & F.col("start").between(lo, hi) for c, (lo, hi) in sorted(ranges.items())]
+    known = sorted((lo, hi, c) for c, (lo, hi) in ranges.items() if lo is not None)
+    if not known:
+        return reference.filter(F.lit(False))
+    size = -(-len(known) // RANGE_GROUPS)
+    inside = []
+    for i in range(0, len(known), size):
+        group = known[i : i + size]
+        lo, hi = group[0][0], max(g[1] for g in group)
+        inside.append(F.col("chrom").isin([g[2] for g in group]) & F.col("start").between(lo, hi))
     return reference.filter(reduce(or_, inside))
 
 
@@ -140,8 +146,10 @@ def open_reference(
 ) -> DataFrame | None:
     """Open a local or shared reference dataset for the given type and chromosomes.
 
-    Returns None when no file of the dataset covers any of the chromosomes.  A dataset without Parquet
-    files, or without the variant type, raises and names the types that exist.
+    Returns None when no file of the dataset covers any of the chromosomes, as its folder or file names tell; a
+    dataset that does not name chromosomes is filtered by them.  A dataset without Parquet files, or without the
+    variant type, raises and names the types that exist.  ``variant_type=None`` reads all ``.parquet`` files below
+    the folder, whatever folders they are in.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"reference dataset not found: {path}")
@@ -152,9 +160,18 @@ def open_reference(
     if typed:
         if variant_type is not None and variant_type not in typed:
             raise FileNotFoundError(f"no variant type {variant_type!r} in {path}; found: {typed}")
-        return prune(
-            read_partitioned(spark, root, schema, (type_column, "chrom")), variant_type, chroms, type_column
-        )
+        whole = read_partitioned(spark, root, schema, (type_column, "chrom"))
+        if chroms is not None:
+            files = file_catalog(spark, root, name_glob="*.parquet")
+            if variant_type is not None:
+                files = files.filter(partition_value("path", type_column) == variant_type)
+            by_chrom = files.select(partition_value("path", "chrom").alias("chrom")).distinct()
+            there = {r["chrom"] for r in by_chrom.collect()}
+            if there != {None}:
+                chroms = [c for c in chroms if c in there]
+                if not chroms:
+                    return None
+        return prune(whole, variant_type, chroms, type_column)
 
     nested = folder_names(spark, f"{root}/data") if "data" in folders else []
     if variant_type is not None:
@@ -178,6 +195,6 @@ def open_reference(
         return reader.parquet(*paths)
 
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    if list_paths(spark, root, r"\.parquet$").isEmpty() and not nested:
+    if file_catalog(spark, root, name_glob="*.parquet").isEmpty():
         raise FileNotFoundError(f"no Parquet files below {path}")
     return prune((reader.schema(schema) if schema else reader).parquet(root), None, chroms)

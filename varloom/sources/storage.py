@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,14 +38,15 @@ def finished(spark: SparkSession, path: str) -> bool:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path for an intermediate table, in the folder the cluster shares.
 
-    ``spark.checkpoint.dir`` names that folder.  Only a local session without the setting falls back to
-    a temporary folder of this machine.
+    ``spark.checkpoint.dir`` names that folder.  Without the setting a local session uses one temporary folder,
+    which is removed when the session's process ends, and any other session raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="varloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/varloom/{name}-{uuid.uuid4().hex}"
 

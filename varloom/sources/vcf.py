@@ -192,19 +192,19 @@ def resolve_info(
     return select_info(read_info_fields(spark, paths), wanted)
 
 
-def _by_packing(
-    spark: SparkSession, paths: list[str], bgzf: bool | str, split_bytes: int
-) -> tuple[list[str], list[str]]:
-    """The input files, without index files, as those for the text source and those to read by blocks."""
+def _by_packing(spark: SparkSession, paths: list[str], bgzf: bool | str) -> tuple[list[str], list[str]]:
+    """The input files, without index files, as those for the text source and those to read by blocks.
+
+    What a ``.gz`` is depends on its first bytes alone, not on its size.
+    """
     files = file_catalog(spark, paths, recursive=False).filter(~is_index_file("path")).select("path", "size")
     found = files.collect()
     blocked = {r["path"] for r in found if r["path"].endswith(".bgz")}
     packed = [r for r in found if r["path"].endswith(".gz")]
     if bgzf is True:
         blocked |= {r["path"] for r in packed}
-    elif bgzf == "auto" and any(r["size"] > split_bytes for r in packed):
-        large = files.filter((F.col("size") > split_bytes) & F.col("path").endswith(".gz"))
-        blocked |= {r["path"] for r in block_gzip_files(large).collect()}
+    elif bgzf == "auto" and packed:
+        blocked |= {r["path"] for r in block_gzip_files(files.filter(F.col("path").endswith(".gz"))).collect()}
     return sorted(r["path"] for r in found if r["path"] not in blocked), sorted(blocked)
 
 
@@ -214,11 +214,11 @@ def vcf_lines(
     """``value, source_file`` of VCF files, plain, gzip or block-gzip; index files are left out.
 
     Block-gzip files are read block by block in parallel: ``.bgz`` always, ``.gz`` with
-    ``bgzf="auto"`` when the file is larger than one split and starts with such a block, or with
-    ``bgzf=True``.  Any other ``.gz`` is one task.
+    ``bgzf="auto"`` when the file starts with such a block, or with ``bgzf=True``.  Any other ``.gz`` is one task.
+    Lines end at LF, CR LF or CR in either.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    plain, blocked = _by_packing(spark, paths, bgzf, split_bytes)
+    plain, blocked = _by_packing(spark, paths, bgzf)
     parts = []
     if plain:
         text = spark.read.text(plain)

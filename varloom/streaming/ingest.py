@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.annotate import annotate
+from ..functions import is_index_file
 from ..schema import KEYS, InfoField
 from ..sources.vcf import parse_lines
 
@@ -28,14 +29,20 @@ def stream_vcf(
     """A stream of variants from the VCF files that land in a folder.
 
     A stream cannot discover columns, so the INFO fields are given: from ``read_info_fields`` on a
-    first file, or by hand.
+    first file, or by hand.  Index files give no rows.  A ``.bgz`` file, which the text source would take for plain
+    text, raises in every mode; the same file named ``.gz`` is read.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    return parse_lines(reader.load(landing_dir), info, mode)
+    lines = reader.load(landing_dir)
+    path = F.col("_metadata.file_path")
+    lines = lines.filter(~is_index_file(path))
+    refused = F.concat(F.lit("a stream cannot read block-gzip by the name .bgz; name it .gz: "), path)
+    packed = F.when(path.endswith(".bgz"), F.raise_error(refused).cast("string")).otherwise(F.col("value"))
+    return parse_lines(lines.select(packed.alias("value")), info, mode)
 
 
 def ingest(
