@@ -43,7 +43,7 @@ from .substring import (
 from .tables import kept
 from .text import flat, hash_spans, mix, rolling, slices
 
-PIECE = 4 << 20
+PIECE = 2 << 20
 #: A byte that UTF-8 has no use for stands beyond the ends of a text.
 _BEYOND = 0xFF
 SHARD = "part int, docs binary, gaps binary, anchors binary, symbols binary"

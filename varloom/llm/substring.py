@@ -37,7 +37,7 @@ from .tables import kept
 from .text import Words, flat, rolling, slices
 
 #: Bytes of text that are hashed, and that are cut, in one step.
-PIECE, CUT = 8 << 20, 2 << 20
+PIECE, CUT = 4 << 20, 2 << 20
 #: Bytes of text for each hash range, and the most ranges.
 RANGE = 16 << 20
 MOST_RANGES = 1 << 16

@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20, rows: int = 8192) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``limit`` bytes of text and ``rows`` rows; a longer text is a piece of its own."""
     if not batch.num_rows:
         return
@@ -44,6 +44,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20, rows: int =
         end = min(max(end, begin + 1), begin + rows, batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
+    pa.default_memory_pool().release_unused()
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
