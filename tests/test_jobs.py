@@ -13,6 +13,7 @@ from varloom.plans import (
     describe_dataset,
     prepare,
     publish_plan,
+    read_converted,
     save_annotated,
 )
 from varloom.schema import InfoField
@@ -61,7 +62,9 @@ def test_annotate_vcf(spark, reference, tmp_path):
 
 def test_annotate_with_prefixed_chromosomes(spark, reference, tmp_path):
     (tmp_path / "s.vcf").write_text(CHR1.replace("\n1\t", "\nchr1\t"))
-    assert annotate_vcf(spark, str(tmp_path / "s.vcf"), reference).filter("clnsig IS NOT NULL").isEmpty()
+    # No folder of the reference has these names, so the input comes back as it is.
+    assert "clnsig" not in annotate_vcf(spark, str(tmp_path / "s.vcf"), reference).columns
+    assert annotate_clinical(spark, str(tmp_path / "s.vcf"), reference).isEmpty()
     df = annotate_vcf(spark, str(tmp_path / "s.vcf"), reference, strip_chr_prefix=True)
     assert df.filter("clnsig IS NOT NULL").count() == 1
 
@@ -168,6 +171,7 @@ def test_publish_plan_and_stats(spark, reference):
     assert again.filter("uploaded").isEmpty()
     stats = describe_dataset(spark, reference).first()
     assert stats["num_files"] == 3 and stats["variant_types"] == ["SNV", "deletion"]
+    assert stats["rows_by_type"] == {"SNV": 2, "deletion": 1}
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -258,3 +262,42 @@ def test_stream_of_a_real_folder(spark, tmp_path):
     with pytest.raises(Exception, match="bgz"):
         stream = stream_vcf(spark, str(folder), [InfoField("TSA")], mode="permissive")
         ingest(stream, str(tmp_path / "o2"), str(tmp_path / "k2")).awaitTermination(120)
+
+
+def test_inputs_of_one_name_are_all_kept(spark, tmp_path):
+    from varloom.plans import split_existing
+
+    folder, out = tmp_path / "landing", str(tmp_path / "out")
+    (folder / "a").mkdir(parents=True)
+    (folder / "a/homo_sapiens-chr1.vcf.gz").write_bytes(gzip.compress(CHR1.encode()))
+    first = prepare(spark, src.ensembl(), str(folder), out, split=True, recursive=True)
+    (folder / "b").mkdir()
+    (folder / "b/homo_sapiens-chr1.vcf.gz").write_bytes(gzip.compress(CHRX.encode()))
+    second = prepare(spark, src.ensembl(), str(folder), out, split=True, recursive=True, raise_on_error=True)
+    assert len(first.converted) == len(second.converted) == 1 and second.problems.isEmpty()
+    assert read_converted(spark, second.variants).count() == 3 and spark.read.parquet(second.splits).count() == 4
+    data = spark.createDataFrame([("1", 10, "A", "C", "SNV")], "chrom string, start bigint, ref string, alt string, tsa string")
+    for name in ("p", "q"):
+        data.write.parquet(str(tmp_path / name / "x.parquet"))
+        split_existing(spark, str(tmp_path / name / "x.parquet"), str(tmp_path / "splits"))
+    assert spark.read.parquet(str(tmp_path / "splits")).count() == 2
+
+
+def test_headers_that_change_between_waves(spark, tmp_path):
+    folder, out = tmp_path / "landing", str(tmp_path / "out")
+    folder.mkdir()
+    af = '##INFO=<ID=AF,Number=1,Type=Integer,Description="a">\n'
+    (folder / "homo_sapiens-chr1.vcf.gz").write_bytes(gzip.compress((af + CHR1.replace("TSA=SNV", "TSA=SNV;AF=7")).encode()))
+    prepare(spark, src.ensembl(), str(folder), out, split=True)
+    text = af.replace("Integer", "String") + '##INFO=<ID=NEW,Number=.,Type=Float,Description="n">\n' + CHRX.replace("TSA=SNV", "TSA=SNV;AF=x;NEW=1,2")
+    (folder / "homo_sapiens-chrX.vcf.gz").write_bytes(gzip.compress(text.encode()))
+    second = prepare(spark, src.ensembl(), str(folder), out, split=True, raise_on_error=True)
+    assert [os.path.basename(p) for p in second.converted] == ["homo_sapiens-chrX.vcf.gz"]
+    got = read_converted(spark, second.variants)
+    assert rows(got, "chrom", "start", "tsa", "af", "new") == [
+        ("1", 10, "SNV", "7", None), ("1", 20, "deletion", None, None), ("X", 30, "SNV", "x", [1.0, 2.0])
+    ]
+    assert rows(spark.read.parquet(second.splits), "start", "af") == [(10, "7"), (10, "7"), (20, None), (30, "x")]
+    assert prepare(spark, src.ensembl(), str(folder), out, split=True).converted == []
+    back = prepare(spark, src.ensembl(), str(folder), out, overwrite=True)
+    assert len(back.converted) == 2 and read_converted(spark, back.variants).count() == 3

@@ -10,7 +10,9 @@ from .names import (
     is_vcf_file,
     last_suffix,
     percent_decoded,
+    plain_path,
     relative_path,
+    source_id,
     source_name,
     stem,
 )
@@ -33,8 +35,10 @@ __all__ = [
     "last_suffix",
     "megabytes",
     "percent_decoded",
+    "plain_path",
     "relative_path",
     "signed_bytes",
+    "source_id",
     "source_name",
     "stem",
     "typed_info",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,6 +79,20 @@ def source_name(path: str | Column) -> Column:
     return bare
 
 
+def plain_path(path: str | Column) -> Column:
+    """A path with one slash after its scheme, so that paths from listings and from row metadata compare equal."""
+    return F.regexp_replace(_col(path), "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def source_id(path: str | Column, root: str | None = None) -> Column:
+    """What tells inputs of one name apart: a hash of the path below ``root``, or of the whole path."""
+    col = plain_path(path)
+    if root is not None:
+        prefix = re.sub("^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", root).rstrip("/") + "/"
+        col = F.when(col.startswith(prefix), F.substring(col, len(prefix) + 1, 2**31 - 1)).otherwise(col)
+    return F.lower(F.lpad(F.hex(F.xxhash64(col)), 16, "0"))
+
+
 def default_parquet_name(path: str | Column) -> Column:
     """Output path for a VCF: ``.vcf``, ``.vcf.gz`` and ``.vcf.bgz`` give way to ``.parquet``.
 

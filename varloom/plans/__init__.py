@@ -11,6 +11,7 @@ from .jobs import (
     pending_conversions,
     prepare,
     publish_plan,
+    read_converted,
     save_annotated,
     split_existing,
     split_pending,
@@ -27,6 +28,7 @@ __all__ = [
     "pending_conversions",
     "prepare",
     "publish_plan",
+    "read_converted",
     "save_annotated",
     "split_existing",
     "split_pending",

@@ -846,7 +846,7 @@ def convert_in_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = jobs.convert_pending(spark, file_catalog(spark, landing, r"\.txt$"), f"{out}/variants", t.VCF_INFO)
     if set(first) & set(second):
         raise AssertionError("a file was converted twice")
-    return spark.read.parquet(f"{out}/variants").drop("source_file")
+    return jobs.read_converted(spark, f"{out}/variants").drop("source_file", "source_id")
 
 
 # --- streams ---------------------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import base_name, framed_info, is_index_file, percent_decoded, source_name, typed_info
+from ..functions import base_name, framed_info, is_index_file, percent_decoded, plain_path, source_name, typed_info
 from ..schema import ALT_SEPARATOR, InfoField, info_columns
 from .blocks import SPLIT_BYTES, block_gzip_files, read_block_lines
 from .catalog import file_catalog
@@ -211,7 +211,7 @@ def _by_packing(spark: SparkSession, paths: list[str], bgzf: bool | str) -> tupl
 def vcf_lines(
     spark: SparkSession, paths: str | Sequence[str], bgzf: bool | str = "auto", split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
-    """``value, source_file`` of VCF files, plain, gzip or block-gzip; index files are left out.
+    """``value, source_file, source_path`` of VCF files, plain, gzip or block-gzip; index files are left out.
 
     Block-gzip files are read block by block in parallel: ``.bgz`` always, ``.gz`` with
     ``bgzf="auto"`` when the file starts with such a block, or with ``bgzf=True``.  Any other ``.gz`` is one task.
@@ -222,12 +222,13 @@ def vcf_lines(
     parts = []
     if plain:
         text = spark.read.text(plain)
-        parts.append(text.select("value", percent_decoded("_metadata.file_name").alias("source_file")))
+        path = plain_path(percent_decoded("_metadata.file_path"))
+        parts.append(text.select("value", percent_decoded("_metadata.file_name").alias("source_file"), path.alias("source_path")))
     if blocked:
         text = read_block_lines(spark, blocked, split_bytes)
-        parts.append(text.select("value", base_name("path").alias("source_file")))
+        parts.append(text.select("value", base_name("path").alias("source_file"), plain_path("path").alias("source_path")))
     if not parts:
-        return spark.createDataFrame([], "value string, source_file string")
+        return spark.createDataFrame([], "value string, source_file string, source_path string")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -237,6 +238,7 @@ def read_vcf(
     info_fields: Sequence[str | InfoField] | None = None,
     save_parquet: str | None = None,
     with_source: bool = False,
+    with_path: bool = False,
     partitions: int | None = None,
     mode: str = "failfast",
     bgzf: bool | str = "auto",
@@ -245,7 +247,8 @@ def read_vcf(
     """Read VCF files as one variant table.
 
     ``info_fields`` names the INFO fields that become columns: None takes all that the headers declare,
-    an empty list none.  ``with_source`` adds ``source_file``, the stem of the file a row came from.
+    an empty list none.  ``with_source`` adds ``source_file``, the stem of the file a row came from, and
+    ``with_path`` adds ``source_path``, its whole path.
     ``partitions`` redistributes the rows after the read, for gzip files that Spark reads in one task.
     ``save_parquet`` writes the table, to a path or next to the input with ``"auto"``, and returns the
     written table.
@@ -254,11 +257,11 @@ def read_vcf(
     lines = vcf_lines(spark, paths, bgzf, split_bytes)
     if partitions:
         lines = lines.repartition(partitions)
-    keep = ["source_file"] if with_source else []
+    keep = ["source_file"] * with_source + ["source_path"] * with_path
     df = parse_lines(lines, info, mode, keep)
-    if with_source:
-        names = df.columns[1:]
-        df = df.select(*names, source_name("source_file").alias("source_file"))
+    if keep:
+        names = df.columns[len(keep) :]
+        df = df.select(*names, *[source_name(c).alias(c) if c == "source_file" else c for c in keep])
     if save_parquet is None:
         return df
     target = default_path(paths) if save_parquet == "auto" else save_parquet
