@@ -137,7 +137,7 @@ def salted_join(
 
     Rows are dealt by their position in the input partition, so equal rows are separated too.  A task that
     is run again must therefore see them in the same order: a side that is dealt goes through
-    ``repeatable``.  With more slices than shuffle partitions the join gets a partition for each slice.
+    ``repeatable``.  Slices are hashed over the partitions of the join, so its tasks get even shares.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
@@ -145,18 +145,10 @@ def salted_join(
     if heavy is None and null_slices <= 1:
         return left.join(right, on, how)
 
-    most = {"left_slices": 1, "right_slices": 1}
-    total = null_slices
-    if heavy is not None:
-        sums = heavy.agg(
-            F.max("left_slices").alias("left_slices"),
-            F.max("right_slices").alias("right_slices"),
-            F.sum(F.col("left_slices") * F.col("right_slices")).alias("cells"),
-        ).first()
-        most, total = sums.asDict(), total + sums["cells"]
-    if null_slices > 1 or most["left_slices"] > 1:
+    most = heavy.agg(F.max("left_slices").alias("left"), F.max("right_slices").alias("right")).first() if heavy else None
+    if null_slices > 1 or (most and most["left"] > 1):
         left = repeatable(left)
-    if most["right_slices"] > 1:
+    if most and most["right"] > 1:
         right = repeatable(right)
 
     tag = uuid.uuid4().hex[:8]
@@ -184,8 +176,6 @@ def salted_join(
         .withColumn(hit, F.lit(True))
         .drop(n_left, n_right)
     )
-    if total > int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        left, right = (df.repartition(total, *[F.col(c) for c in (*on, ls, rs)]) for df in (left, right))
     joined = left.join(right, [*on, ls, rs], how)
     if how == "left":
         joined = joined.filter(F.col(hit).isNotNull() | (F.col(n_right) == 1))

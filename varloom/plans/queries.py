@@ -22,7 +22,7 @@ from ..sources import (
     select_info,
     vcf_to_parquet,
 )
-from ..sources.storage import qualified
+from ..sources.storage import qualified, rename_files
 from ..streaming import annotate_stream, ingest, stream_vcf
 from . import jobs
 from . import tables as t
@@ -287,6 +287,84 @@ def annotate_exploded_alts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.groupBy("tsa").agg(F.count("*").alias("n_rows"), F.count("n_obs").alias("n_known"))
 
 
+@query(
+    t.WITH_SQL
+    + f"""
+, n AS (SELECT 'ctg' || (start // 10) AS chrom, start, ref, alt, tsa, l_linestatus FROM v),
+m AS (SELECT {KEY_LIST}, count(*) AS n_obs FROM n WHERE l_linestatus = 'F' AND start % 3 = 0 GROUP BY {KEY_LIST})
+SELECT tsa, count(*) AS n_rows, count(n_obs) AS n_known FROM n LEFT JOIN m {USING} GROUP BY tsa"""
+)
+def annotate_many_chromosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chromosome name per part: as many contigs as the table has parts, none left out of pruning."""
+    out = scratch_dir(spark, "annotate_many_chromosomes")
+    name = F.concat(F.lit("ctg"), F.floor(F.col("start") / 10).cast("string"))
+    v = t.variants(spark, sf_dir).withColumn("chrom", name)
+    t.vcf_text(v).write.text(f"{out}/sample.vcf")
+    known = v.filter("l_linestatus = 'F' AND start % 3 = 0").groupBy(*KEYS).agg(F.count("*").alias("n_obs"))
+    known.write.parquet(f"{out}/reference")
+    df = jobs.annotate_vcf(
+        spark, f"{out}/sample.vcf", f"{out}/reference", None, info_fields=t.VCF_INFO, unique_reference=True
+    )
+    return df.groupBy("tsa").agg(F.count("*").alias("n_rows"), F.count("n_obs").alias("n_known"))
+
+
+@query(
+    t.WITH_SQL
+    + """
+, n AS (SELECT start // 10 AS part, qual, l_linestatus FROM v)
+SELECT a.part, count(*) AS n_rows, CAST(sum(a.qual * b.qual) AS bigint) AS total
+FROM n a JOIN (SELECT part, qual FROM n WHERE l_linestatus = 'F') b ON a.part = b.part GROUP BY a.part"""
+)
+def annotate_many_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearly every key is heavy, on both sides: each is found and spread."""
+    v = t.variants(spark, sf_dir).select(F.floor(F.col("start") / 10).alias("part"), "qual", "l_linestatus")
+    other = v.filter("l_linestatus = 'F'").select("part", "qual")
+    joined = op.annotate(v, other, on=["part"], how="inner", strategy="direct", rows_per_slice=8)
+    return joined.groupBy("part").agg(
+        F.count("*").alias("n_rows"), F.sum(F.col("qual") * F.col("qual_ensembl")).cast("bigint").alias("total")
+    )
+
+
+@query(t.WITH_SQL + "SELECT * FROM v")
+def annotate_empty_partitioned_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answer on the package's own layout: no folder has one of the chromosomes."""
+    out = scratch_dir(spark, "annotate_empty_partitioned")
+    jobs.build_reference(t.reference_rows(spark, sf_dir).withColumn("chrom", F.lit("MT")), out, layout="rebalance")
+    v = t.variants(spark, sf_dir)
+    return op.annotate(v, open_reference(spark, out, "SNV", chromosome_list(v)))
+
+
+@query(
+    t.WITH_SQL
+    + "SELECT tsa, count(*) AS n_rows, max(qual) AS max_qual FROM d WHERE chrom IN ('1', 'X') GROUP BY tsa"
+)
+def reference_of_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders per type opened together, without choosing one."""
+    out = scratch_dir(spark, "reference_of_all_types")
+    rows = t.reference_rows(spark, sf_dir)
+    for kind in ("SNV", "deletion", "insertion"):
+        rows.filter(F.col("tsa") == kind).write.parquet(f"{out}/{kind}/all.parquet")
+    both = open_reference(spark, out, None, ["1", "X"])
+    return both.groupBy("tsa").agg(F.count("*").alias("n_rows"), F.max("qual").alias("max_qual"))
+
+
+@query(
+    t.WITH_SQL
+    + f"""
+, c AS (SELECT {KEY_LIST}, {CLINICAL.format("qual")} AS clnsig FROM r)
+SELECT v.tsa, clnsig, count(*) AS n_rows FROM v JOIN c {USING} WHERE clnsig LIKE '%Pathogenic%' GROUP BY v.tsa, clnsig"""
+)
+def annotate_clinical_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VCF text against a clinical dataset with its files below ``data/``."""
+    out = scratch_dir(spark, "annotate_clinical_job")
+    t.vcf_text(t.variants(spark, sf_dir)).write.text(f"{out}/sample.vcf")
+    clinical_reference(spark, sf_dir).write.parquet(f"{out}/clinvar/data/clinvar.parquet")
+    found = jobs.annotate_clinical(
+        spark, f"{out}/sample.vcf", f"{out}/clinvar", contains="Pathogenic", info_fields=t.VCF_INFO, unique_reference=True
+    )
+    return found.groupBy("tsa", "clnsig").agg(F.count("*").alias("n_rows"))
+
+
 # --- filters, distinct values, order ----------------------------------------------------------------
 
 
@@ -849,6 +927,32 @@ def convert_in_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_converted(spark, f"{out}/variants").drop("source_file", "source_id")
 
 
+@query(
+    t.WITH_SQL
+    + """
+SELECT chrom, tsa, count(*) AS n_rows FROM
+(SELECT chrom, tsa FROM v UNION ALL SELECT chrom || '_b', tsa FROM v) GROUP BY chrom, tsa"""
+)
+def convert_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the same names in two folders, the second landed later: all rows are there."""
+    out = scratch_dir(spark, "convert_same_names")
+    v = t.variants(spark, sf_dir)
+    for folder, lines in (("a", t.vcf_text(v)), ("b", t.vcf_text(v.withColumn("chrom", F.concat("chrom", F.lit("_b")))))):
+        lines.write.text(f"{out}/landing/{folder}")
+        rename_files(spark, f"{out}/landing/{folder}", ".txt", "sample{}.vcf")
+        landed = file_catalog(spark, f"{out}/landing", r"\.vcf$")
+        jobs.convert_pending(spark, landed, f"{out}/variants", t.VCF_INFO, root=qualified(spark, f"{out}/landing"))
+    return jobs.read_converted(spark, f"{out}/variants").groupBy("chrom", "tsa").agg(F.count("*").alias("n_rows"))
+
+
+@query(t.WITH_SQL + "SELECT tsa AS variant_type, count(*) AS n_rows FROM v GROUP BY tsa")
+def describe_dataset_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per type of a written dataset, from its statistics."""
+    out = scratch_dir(spark, "describe_dataset")
+    t.variants(spark, sf_dir).write.partitionBy("tsa").parquet(out)
+    return jobs.describe_dataset(spark, out).select(F.explode("rows_by_type").alias("variant_type", "n_rows"))
+
+
 # --- streams ---------------------------------------------------------------------------------------
 
 

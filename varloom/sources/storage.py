@@ -76,3 +76,11 @@ def task_opener():
         return filesystem.open_input_file(inner)
 
     return opened
+
+
+def rename_files(spark: SparkSession, folder: str, suffix: str, form: str) -> None:
+    """Give the files of a folder that end with ``suffix`` running names."""
+    fs, hadoop_path = _hadoop_path(spark, folder)
+    names = sorted(str(s.getPath().getName()) for s in fs.listStatus(hadoop_path))
+    for i, name in enumerate(n for n in names if n.endswith(suffix)):
+        fs.rename(_hadoop_path(spark, f"{folder}/{name}")[1], _hadoop_path(spark, f"{folder}/{form.format(i)}")[1])
