@@ -82,19 +82,23 @@ def compare_sizes(remote: DataFrame, local: DataFrame, position: str | Column =
 
 def size_mismatches(remote: DataFrame, local: DataFrame, position: str | Column = "path") -> DataFrame:
     """Files whose local size differs from a known remote size, with the difference and a message."""
-    diff = F.col("local_size") - F.col("remote_size")
-    detail = F.concat(
+    different = compare_sizes(remote, local, position).filter(F.col("local_size") != F.col("remote_size"))
+    diff = (F.col("local_size") - F.col("remote_size")).alias("diff")
+    return different.select("url", "local_path", "local_size", "remote_size", diff, _size_detail().alias("detail"))
+
+
+def _size_detail() -> Column:
+    """What is wrong with a size, of a row of ``compare_sizes``."""
+    return F.concat(
         F.col("local_path"),
         F.lit(": local "),
         human_size("local_size"),
         F.lit(" vs remote "),
         human_size("remote_size"),
         F.lit(" ("),
-        signed_bytes(diff),
+        signed_bytes(F.col("local_size") - F.col("remote_size")),
         F.lit(")"),
     )
-    different = compare_sizes(remote, local, position).filter(F.col("local_size") != F.col("remote_size"))
-    return different.select("url", "local_path", "local_size", "remote_size", diff.alias("diff"), detail.alias("detail"))
 
 
 def convert_count_check(local: DataFrame, parquet: DataFrame) -> DataFrame:
@@ -125,15 +129,22 @@ def reconcile(remote: DataFrame, local: DataFrame, parquet: DataFrame, catalog:
         )
 
     path, url = F.col("path"), F.col("url")
-    unknown = compare_sizes(remote, local).filter("remote_size IS NULL")
+    # Sizes are compared once, for both things that can be wrong with them.
+    unknown = F.col("remote_size").isNull()
+    sizes = compare_sizes(remote, local).filter(unknown | (F.col("local_size") != F.col("remote_size")))
+    sizes = sizes.select(
+        F.when(unknown, "warning").otherwise("error").alias("severity"),
+        F.when(unknown, "remote_size_unknown").otherwise("size_mismatch").alias("kind"),
+        F.when(unknown, F.col("name")).otherwise(base_name(url)).alias("name"),
+        F.when(unknown, url).otherwise(_size_detail()).alias("detail"),
+    )
     short = convert_count_check(local, parquet).filter("short")
     counts = F.format_string("%d Parquet files for %d VCF files", "parquets", "vcfs")
     found = [
         problem(missing_paths(local, catalog), "error", "missing_local", base_name(path), path),
         problem(missing_locals(remote, local), "error", "no_local_for_url", F.col("name"), url),
         problem(missing_paths(parquet, catalog), "error", "missing_parquet", base_name(path), path),
-        problem(size_mismatches(remote, local), "error", "size_mismatch", base_name(url), F.col("detail")),
-        problem(unknown, "warning", "remote_size_unknown", F.col("name"), url),
+        sizes,
         problem(short, "warning", "fewer_parquets_than_vcfs", F.lit("dataset"), counts),
     ]
     return reduce(DataFrame.unionByName, found)
