@@ -13,6 +13,7 @@ from ..schema import ALT_SEPARATOR, KEYS
 from ..sources import (
     chromosome_list,
     chromosomes,
+    ensembl,
     file_catalog,
     header_info,
     match_reference_files,
@@ -945,6 +946,67 @@ def convert_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_converted(spark, f"{out}/variants").groupBy("chrom", "tsa").agg(F.count("*").alias("n_rows"))
 
 
+def land(spark: SparkSession, lines: DataFrame, folder: str, fields, name: str = "homo_sapiens-chr{}.vcf.gz") -> None:
+    """Compressed VCF files, each with a header that declares the fields."""
+    header = ["##fileformat=VCFv4.2", *map(t.info_line, fields), "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
+    t.with_header(lines, *header).write.option("compression", "gzip").text(folder)
+    rename_files(spark, folder, ".txt.gz", name)
+
+
+@query(
+    t.WITH_SQL
+    + """
+SELECT tsa, count(*) AS n_rows, CAST(sum(ok) AS bigint) AS orders FROM
+(SELECT tsa, unnest(string_split(alt, '|')) AS alt, l_orderkey AS ok FROM v WHERE tsa = 'SNV'
+ UNION ALL SELECT tsa, alt, l_orderkey FROM v WHERE tsa <> 'SNV') GROUP BY tsa"""
+)
+def prepare_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files selected, their headers read, converted, checked, split by type and checked again."""
+    out = scratch_dir(spark, "prepare_job")
+    land(spark, t.vcf_text(t.variants(spark, sf_dir)), f"{out}/landing", t.VCF_INFO)
+    done = jobs.prepare(spark, ensembl(), f"{out}/landing", out, split=True, raise_on_error=True)
+    back = spark.read.parquet(done.splits)
+    return back.groupBy("tsa").agg(F.count("*").alias("n_rows"), F.sum("ok").alias("orders"))
+
+
+@query(
+    t.WITH_SQL
+    + """
+SELECT chrom, tsa, CAST(l_orderkey AS varchar) AS ok, CAST(NULL AS bigint) AS ln FROM v
+UNION ALL SELECT chrom || '_b', tsa, CAST(l_orderkey AS varchar), CAST(l_linenumber AS bigint) FROM v"""
+)
+def convert_changed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second wave declares one field more and another as text: both waves come back with all columns."""
+    out = scratch_dir(spark, "convert_changed_headers")
+    v = t.variants(spark, sf_dir)
+    tsa, ok, ln = t.VCF_INFO[0], t.VCF_INFO[1], t.VCF_INFO[2]
+    land(spark, t.vcf_text(v), f"{out}/landing/a", [tsa, ok])
+    landed = file_catalog(spark, f"{out}/landing", r"\.gz$")
+    jobs.convert_pending(spark, landed, f"{out}/variants")
+    later = v.withColumn("chrom", F.concat("chrom", F.lit("_b")))
+    land(spark, t.vcf_text(later), f"{out}/landing/b", [tsa, ok._replace(type="String"), ln])
+    jobs.convert_pending(spark, file_catalog(spark, f"{out}/landing", r"\.gz$"), f"{out}/variants")
+    return jobs.read_converted(spark, f"{out}/variants").select("chrom", "tsa", "ok", "ln")
+
+
+@query(
+    t.WITH_SQL
+    + """
+SELECT DISTINCT tsa AS variant_type, CASE tsa WHEN 'SNV' THEN 'size_match' WHEN 'deletion' THEN 'new_file'
+  ELSE 'size_differs' END AS reason FROM v"""
+)
+def publish_plan_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a written dataset against a remote listing that lacks some and has others of another size."""
+    out = scratch_dir(spark, "publish_plan")
+    t.variants(spark, sf_dir).write.partitionBy("tsa").parquet(out)
+    local = jobs.publish_plan(spark, out, spark.createDataFrame([], "path_in_repo string, size bigint"))
+    there = local.filter(~F.col("path_in_repo").contains("tsa=deletion/"))
+    other = F.when(F.col("path_in_repo").contains("tsa=insertion/"), 1).otherwise(0)
+    plan = jobs.publish_plan(spark, out, there.select("path_in_repo", (F.col("local_size") + other).alias("size")))
+    kind = F.regexp_extract("path_in_repo", "tsa=([^/]*)/", 1)
+    return plan.select(kind.alias("variant_type"), "reason").distinct()
+
+
 @query(t.WITH_SQL + "SELECT tsa AS variant_type, count(*) AS n_rows FROM v GROUP BY tsa")
 def describe_dataset_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per type of a written dataset, from its statistics."""

@@ -217,3 +217,22 @@ REMOTE_SQL = """
          CASE WHEN p_brand = 'Brand#5' THEN size + p_size - 25 ELSE size END AS size
   FROM m WHERE p_brand <> 'Brand#7'
 """
+
+
+def with_header(lines: DataFrame, *header: str) -> DataFrame:
+    """The lines, with header lines ahead of those of each partition, and so of each file that is written."""
+
+    def prepend(batches):
+        import pyarrow as pa
+
+        ahead = [pa.array(header, pa.string())]
+        for batch in batches:
+            for column in (*ahead, batch.column("value")):
+                yield pa.RecordBatch.from_arrays([column], names=["value"])
+            ahead = []
+
+    return lines.select("value").mapInArrow(prepend, "value string")
+
+
+def info_line(field: InfoField) -> str:
+    return f'##INFO=<ID={field.id},Number={field.number},Type={field.type},Description="{field.id}">'

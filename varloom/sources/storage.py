@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Folders that ``scratch_dir`` has given out and that still exist.
+_SCRATCH: list[str] = []
+
 
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -48,7 +51,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="varloom-")
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/varloom/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/varloom/{name}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_at_exit)
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the folders that ``scratch_dir`` has given out.  Tables that still read them are lost."""
+    while _SCRATCH:
+        fs, hadoop_path = _hadoop_path(spark, _SCRATCH.pop())
+        fs.delete(hadoop_path, True)
+
+
+def _remove_at_exit() -> None:
+    """Frames are lazy, so intermediate tables live as long as the driver's process."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        remove_scratch(spark)
 
 
 def folder_names(spark: SparkSession, path: str) -> list[str]:
