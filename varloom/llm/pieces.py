@@ -11,6 +11,7 @@ not be the one that its merges in order arrive at.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -302,23 +303,35 @@ def decode_pieces(docs: DataFrame, path: str) -> DataFrame:
     return out.select(*[F.col("row").getField(c).alias(c) for c in old], "decoded")
 
 
-def _crc(batches):
-    for batch in batches:
-        crc = [zlib.crc32(np.array(x.values, "<u4").tobytes()) if x.is_valid else 0 for x in batch.column("piece_ids")]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(crc, pa.int64())], ["row", "ids_crc32"])
+def _digest(path: str):
+    """Tasks: what a text's pieces are, and whether they give it back, in one pass."""
+
+    def run(batches):
+        own = model(path)
+        for batch in batches:
+            for piece in slices(batch, "text", 4 << 20):
+                ids, counts = own.encode(piece.column("text"))
+                edge = np.concatenate([[0], np.cumsum(counts)])
+                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(edge[:-1], edge[1:])]
+                decoded = own.decode(ids, counts)
+                given = [(t or "").replace(_SPACE, " ") for t in piece.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id"),
+                        pa.array(counts),
+                        pa.array(crc, pa.int64()),
+                        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
+                        pa.array([x == y for x, y in zip(given, decoded)], pa.bool_()),
+                    ],
+                    ["doc_id", "n_pieces", "ids_crc32", "decoded_sha256", "round_trip"],
+                )
+
+    return run
 
 
 def piece_digests(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, decoded_sha256, round_trip`` of every text, encoded and decoded again."""
-    both = decode_pieces(encode_pieces(docs.select("doc_id", "text"), path), path)
-    slim = both.select(
-        F.struct(
-            "doc_id",
-            F.size("piece_ids").cast("long").alias("n_pieces"),
-            F.sha2("decoded", 256).alias("decoded_sha256"),
-            (F.col("decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(_SPACE), F.lit(" "))).alias("round_trip"),
-        ).alias("row"),
-        "piece_ids",
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInArrow(
+        _digest(path), "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string, round_trip boolean"
     )
-    schema = T.StructType(list(slim.select("row").schema)).add("ids_crc32", "long")
-    return slim.mapInArrow(_crc, schema).select("row.*", "ids_crc32")

@@ -11,7 +11,16 @@ from ..sources.storage import scratch_dir
 BROADCAST_IDS = 1_000_000
 
 
+#: Rows of an Arrow batch on its way to a Python task.  Texts are large rows: Spark's default of 10,000 makes batches of
+#: tens of megabytes, held twice for each running task.
+BATCH_ROWS = 2_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables.  From here on the session's Arrow batches have at most ``BATCH_ROWS`` rows."""
+    if int(spark.conf.get(_BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
