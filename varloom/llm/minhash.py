@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .tables import kept, only_ids
-from .text import LOWER, Words, flat, mix, rolling, signed, slices
+from .text import LOWER, Words, flat, hand_back, mix, rolling, signed, slices
 
 BANDS = 32
 #: Chance that two documents exactly at the threshold share no bucket.
@@ -175,6 +175,7 @@ def _confirm(percent: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"]
             )
+            hand_back()
 
     return run
 

@@ -34,7 +34,7 @@ from .places import (
     with_positions,
 )
 from .tables import kept
-from .text import Words, flat, rolling, slices
+from .text import Words, flat, hand_back, rolling, slices
 
 #: Bytes of text that are hashed, and that are cut, in one step.
 PIECE, CUT = 4 << 20, 2 << 20
@@ -202,6 +202,7 @@ def _lead(first: np.ndarray) -> np.ndarray:
 
 
 def _as_places(found, parts: int) -> pa.Table:
+    hand_back()
     doc, pos = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
     return pa.Table.from_batches([slotted(doc, pos, parts)])
 

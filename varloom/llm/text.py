@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -33,6 +34,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def hand_back() -> None:
+    """Give freed memory back to the machine; workers live on and would keep what their largest batch needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``limit`` bytes of text and ``rows`` rows; a longer text is a piece of its own."""
     if not batch.num_rows:
@@ -44,7 +53,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows: int =
         end = min(max(end, begin + 1), begin + rows, batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
-    pa.default_memory_pool().release_unused()
+    hand_back()
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
