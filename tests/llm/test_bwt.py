@@ -4,7 +4,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from varloom.llm import bwt, substring
+from varloom.llm import bwt, places, substring
 from varloom.llm.queries import QUERIES
 
 from . import brute
@@ -50,6 +50,20 @@ def test_removed_bytes_match_all_windows(spark, monkeypatch, window):
     assert result(bwt.remove_repeated_bytes(df, window)) == brute.byte_dedup(docs, window)
 
 
+def test_varints_hold_integers_of_any_size():
+    x = np.array([0, 127, 128, (1 << 35) - 1, 1 << 35, 700_000 << 16 | 300, (1 << 62) + 5])
+    assert places.from_varints(places.to_varints(x)).tolist() == x.tolist()
+
+
+def test_repeats_far_behind_in_a_long_text(spark):
+    rng = random.Random(3)
+    p = "".join(rng.choice("abcdefgh") for _ in range(300))
+    text = "".join(rng.choices("ijklmnopqrst", k=1_100_000))
+    docs = [(1, p + text[:2000]), (2, text[2000:1_050_000] + p + text[1_050_000:]), (3, text[2500:600_000] + p + text[1_060_000:])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert result(bwt.remove_repeated_bytes(df, 100)) == brute.byte_dedup(docs, 100)
+
+
 def test_odd_rows_have_defined_results(spark):
     p = "".join(f"w{i} " for i in range(60))
     docs = [(1, None), (2, ""), (4, f"é{p}é tail"), (3, p), (3, p), (None, p), (7, "yz" + "x" * 99)]

@@ -16,10 +16,10 @@ PLACES = "slot int, places binary"
 
 
 def to_varints(x: np.ndarray) -> bytes:
-    """Non-negative integers below 2**35 in one to five bytes each, seven bits a byte."""
+    """Non-negative integers in as many bytes as each needs, seven bits a byte."""
     x = x.astype(np.uint64)
-    size = np.ones(len(x), np.int64)
-    for bits in (7, 14, 21, 28):
+    size, most = np.ones(len(x), np.int64), int(x.max(initial=0))
+    for bits in range(7, most.bit_length(), 7):
         size += x >= np.uint64(1 << bits)
     at = np.cumsum(size) - size
     out = np.zeros(int(size.sum()), np.uint8)
