@@ -24,6 +24,24 @@ def test_templates_of_a_host_go_and_articles_stay(spark):
     assert all(got[30 + i] == "T\nSame words" for i in range(8))
 
 
+def test_mirrored_pages_are_no_template(spark):
+    page = "<body><div><h1>Head</h1><p>One</p></div><div><p>Two</p></div></body>"
+    rows = [(i, "http://a.example/1", page) for i in range(5)] + [(10 + i, f"http://b.example/{i}", page) for i in range(9)]
+    rows += [(30 + i, f"http://c.example/{i}", page.replace("<p>", f'<p data-at="{i}">')) for i in range(9)]
+    rows += [(50 + i, f"http://c.example/own{i}", f"<div><p>Own {i}</p></div>") for i in range(4)]
+    got = texts(spark.createDataFrame(rows, SCHEMA))
+    assert all(got[i] == "Head\nOne\nTwo" for i in got if i < 50) and got[50] == "Own 0"
+
+
+def test_template_is_a_share_of_a_host(spark):
+    box, rare = "<div>Follow us</div>", "<p>Thank you.</p>"
+    rows = [(i, f"http://a.example/{i}", f"{box}<div><p>Own {i}</p>{rare if i < 8 else ''}</div>") for i in range(400)]
+    rows += [(1000 + i, f"http://b.example/{i}", f"{box}<div><p>Own {i}</p>{rare if i < 8 else ''}</div>") for i in range(40)]
+    got = texts(spark.createDataFrame(rows, SCHEMA))
+    assert all(got[i] == (f"Own {i}\nThank you." if i < 8 else f"Own {i}") for i in range(400))
+    assert all(got[1000 + i] == f"Own {i}" for i in range(40))
+
+
 def test_what_is_never_main_text(spark):
     page = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body class="ad">
     <header><h1>Site</h1></header><nav><a>Home</a></nav><!-- <p>x</p> --><div class="cookie-notice">ok?</div>

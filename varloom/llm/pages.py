@@ -1,8 +1,8 @@
 """Main text of web pages: site templates are found by counting equal element subtrees per host.
 
-Every block element outside the article is hashed with all it holds.  Spark counts, per host, the pages that hold a
-subtree; those on many pages are template and are deleted where they stand, together with elements that are never
-main text by their tag (menus, forms, scripts) or by their class, id or role (adverts, notices, reader comments).
+Every block element outside the article is hashed with all it holds.  Spark counts, per host, the different pages that
+hold a subtree; those on a share of them are template and are deleted where they stand, together with elements that are
+never main text by their tag (menus, forms, scripts) or by their class, id or role (adverts, notices, reader comments).
 """
 
 from __future__ import annotations
@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import kept
+from .tables import BROADCAST_IDS, kept
 from .text import slices
 
-#: A subtree on this many pages of a host is template.
-TEMPLATE_PAGES = 5
+#: A subtree on this many different pages of a host, and on this percentage of them, is template.
+TEMPLATE_PAGES, TEMPLATE_PERCENT = 5, 5
 #: Bytes of subtree hashes that are broadcast to where pages are read; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -68,6 +68,10 @@ def host_of(url: str | None) -> str:
     return found[1].lower() if found else ""
 
 
+def _number(digest: bytes) -> int:
+    return int.from_bytes(digest, "little", signed=True)
+
+
 def _hinted(tag: str, attributes: str, in_main: bool) -> bool:
     if not attributes or tag in ("html", "body", "main"):
         return False
@@ -179,24 +183,31 @@ class _Page:
         if self.hashing:
             digest = blake2b(b"\x00".join(parts), digest_size=8).digest()
             parent[3].append(digest)
-            if tag in BLOCK and tag not in ("html", "body"):
-                number = int.from_bytes(digest, "little", signed=True)
+            if len(self.blocks) > before and tag in BLOCK and tag not in ("html", "body"):
+                number = _number(digest)
                 self.hashes.add(number)
                 if number in self.template:
                     del self.blocks[before:]
 
 
 def _subtrees(batches):
-    """Tasks: key, host and the distinct subtree hashes of every page."""
+    """Tasks: key, host, a hash of the text and the distinct subtree hashes of every page."""
     for batch in batches:
         for piece in slices(batch, "html"):
-            hosts, hashes = [], []
+            hosts, contents, hashes = [], [], []
             for url, source in zip(piece.column("url").to_pylist(), piece.column("html").to_pylist()):
+                page = _Page(source or "", frozenset())
                 hosts.append(host_of(url))
-                hashes.append(sorted(_Page(source or "", frozenset()).hashes))
+                contents.append(_number(blake2b(page.text().encode("utf-8", "replace"), digest_size=8).digest()))
+                hashes.append(sorted(page.hashes))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("key"), pa.array(hosts, pa.string()), pa.array(hashes, pa.list_(pa.int64()))],
-                ["key", "host", "hashes"],
+                [
+                    piece.column("key"),
+                    pa.array(hosts, pa.string()),
+                    pa.array(contents, pa.int64()),
+                    pa.array(hashes, pa.list_(pa.int64())),
+                ],
+                ["key", "host", "content", "hashes"],
             )
 
 
@@ -210,23 +221,33 @@ def _extract(batches):
             yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
 
-def main_text(pages: DataFrame, template_pages: int = TEMPLATE_PAGES) -> DataFrame:
+def main_text(
+    pages: DataFrame, template_pages: int = TEMPLATE_PAGES, template_percent: int = TEMPLATE_PERCENT
+) -> DataFrame:
     """``pages`` (``url, html``) with ``text`` for ``html``: blocks of the main text, joined by line ends, and ``n_chars``.
 
     The main text is what ``article`` or ``main`` elements hold, or the whole body where there is none, without the
-    elements named by ``NEVER`` and ``HINTS`` and, outside articles, without subtrees that ``template_pages`` pages of
-    the host hold.  White space in a block is one space, a ``br`` ends a block, character references are decoded.
+    elements named by ``NEVER`` and ``HINTS`` and, outside articles, without subtrees that at least ``template_pages``
+    different pages of the host hold, and ``template_percent`` percent of them.  Pages of a host with equal texts (before
+    subtrees go) count as one.  White space in a block is one space, a ``br`` ends a block, character references are decoded.
 
     Null or empty html, and pages without main text, give an empty text.  A null or malformed url is a host of its
-    own.  Unclosed and stray tags are closed or passed over; repeated rows count as pages and give equal texts.
+    own.  Unclosed and stray tags are closed or passed over; repeated rows count as one page and give equal texts.
     Columns named ``text`` or ``n_chars`` are replaced; no rows give no rows.
     """
     key = F.xxhash64("url", "html")
     source = pages.select(key.alias("key"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    found = kept(source.mapInArrow(_subtrees, "key long, host string, hashes array<long>"), "subtrees")
+    found = source.mapInArrow(_subtrees, "key long, host string, content long, hashes array<long>")
+    found = kept(found, "subtrees")
+    different = found.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    different = kept(different.where(F.col("pages") >= template_pages), "host_pages")
+    few = different.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    holds = found.select("host", "content", F.explode("hashes").alias("hash")).distinct()
+    holds = holds.groupBy("host", "hash").count().where(F.col("count") >= template_pages)
+    template = holds.join(F.broadcast(different) if few else different, "host")
+    template = template.where(F.col("count") * 100 >= F.col("pages") * template_percent)
+    template = kept(template.select("host", "hash"), "templates")
     each = found.select("key", "host", F.explode("hashes").alias("hash"))
-    template = each.groupBy("host", "hash").count().where(F.col("count") >= template_pages).select("host", "hash")
-    template = kept(template, "templates")
     of_page = each.distinct().join(template, ["host", "hash"]).groupBy("key").agg(F.collect_list("hash").alias("template"))
     of_page = kept(of_page, "page_templates")
     size = of_page.agg(F.sum(8 * F.size("template") + 64)).first()[0] or 0
