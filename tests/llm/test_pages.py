@@ -42,6 +42,18 @@ def test_template_is_a_share_of_a_host(spark):
     assert all(got[1000 + i] == f"Own {i}" for i in range(40))
 
 
+def test_template_inside_articles_goes_and_quotations_stay(spark):
+    box, quoted, some = '<div class="x7"><p>Sign up</p>now</div>', "<p>Quoted words</p>", "<div><p>On some</p></div>"
+    rows = [
+        (i, f"http://a.example/{i}", f"<{t}><h1>T</h1>{box}<p>Own {i}</p>{quoted}{some if i < 6 else ''}{box}</{t}>")
+        for i in range(30) for t in [("article", "main")[i % 2]]
+    ]
+    rows += [(100 + i, f"http://b.example/{i}", f"<article>{box}<p>Own {i}</p></article>") for i in range(4)]
+    got = texts(spark.createDataFrame(rows, SCHEMA))
+    assert all(got[i] == f"T\nOwn {i}\nQuoted words" + ("\nOn some" if i < 6 else "") for i in range(30))
+    assert got[100] == "Sign up\nnow\nOwn 0"
+
+
 def test_what_is_never_main_text(spark):
     page = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body class="ad">
     <header><h1>Site</h1></header><nav><a>Home</a></nav><!-- <p>x</p> --><div class="cookie-notice">ok?</div>

@@ -1,8 +1,9 @@
 """Main text of web pages: site templates are found by counting equal element subtrees per host.
 
-Every block element outside the article is hashed with all it holds.  Spark counts, per host, the different pages that
-hold a subtree; those on a share of them are template and are deleted where they stand, together with elements that are
-never main text by their tag (menus, forms, scripts) or by their class, id or role (adverts, notices, reader comments).
+Every block element outside the article, and every container inside it, is hashed with all it holds.  Spark counts, per
+host, the different pages that hold a subtree; those on a share of them, which is higher inside articles, are template
+and are deleted where they stand, together with elements that are never main text by their tag (menus, forms, scripts)
+or by their class, id or role (adverts, notices, reader comments).
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from .text import slices
 
 #: A subtree on this many different pages of a host, and on this percentage of them, is template.
 TEMPLATE_PAGES, TEMPLATE_PERCENT = 5, 5
+#: The percentage for containers inside articles, where a quotation may stand on several pages.
+INSIDE_PERCENT = 30
 #: Bytes of subtree hashes that are broadcast to where pages are read; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -29,6 +32,10 @@ BLOCK = frozenset(
     form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody td tfoot th thead tr
     ul""".split()
 )
+#: Elements that can be template inside an article; paragraphs, headings, items and quotations alone are not.
+CONTAINER = frozenset(
+    "article aside center details div dl fieldset figure footer form header nav ol section table ul".split()
+)
 #: Elements whose content is not main text.
 NEVER = frozenset(
     """script style noscript template head title nav footer aside form button select textarea iframe object svg math
@@ -80,7 +87,10 @@ def _hinted(tag: str, attributes: str, in_main: bool) -> bool:
 
 
 class _Page:
-    """One pass over a page: the text blocks that stay, and the hashes of block elements outside the article."""
+    """One pass over a page: the text blocks that stay, and the hashes of subtrees that can be template.
+
+    A hash is odd for a subtree inside the article and even for others.
+    """
 
     def __init__(self, source: str, template: frozenset[int], hashing: bool = True):
         self.blocks: list[str] = []
@@ -122,7 +132,7 @@ class _Page:
 
     def _text(self, raw: str):
         frame = self.stack[-1]
-        if self.hashing and not frame[4]:
+        if self.hashing:
             frame[3].append(" ".join(raw.split()).encode("utf-8", "replace"))
         if not frame[1]:
             self.buffer.append(html.unescape(raw) if "&" in raw else raw)
@@ -176,18 +186,19 @@ class _Page:
         if tag in BLOCK:
             self._flush()
         parent = self.stack[-1]
-        if in_main:
-            if not dropped and not parent[4]:
-                self.main = (self.main or []) + self.blocks[before:]
-            return
         if self.hashing:
             digest = blake2b(b"\x00".join(parts), digest_size=8).digest()
-            parent[3].append(digest)
-            if len(self.blocks) > before and tag in BLOCK and tag not in ("html", "body"):
-                number = _number(digest)
+            # What is outside does not depend on the articles in it.
+            if parent[4] or not in_main:
+                parent[3].append(digest)
+            can_be = tag in CONTAINER if in_main else tag in BLOCK and tag not in ("html", "body")
+            if can_be and len(self.blocks) > before:
+                number = _number(digest) & ~1 | in_main
                 self.hashes.add(number)
                 if number in self.template:
                     del self.blocks[before:]
+        if in_main and not dropped and not parent[4]:
+            self.main = (self.main or []) + self.blocks[before:]
 
 
 def _subtrees(batches):
@@ -222,13 +233,17 @@ def _extract(batches):
 
 
 def main_text(
-    pages: DataFrame, template_pages: int = TEMPLATE_PAGES, template_percent: int = TEMPLATE_PERCENT
+    pages: DataFrame,
+    template_pages: int = TEMPLATE_PAGES,
+    template_percent: int = TEMPLATE_PERCENT,
+    inside_percent: int = INSIDE_PERCENT,
 ) -> DataFrame:
     """``pages`` (``url, html``) with ``text`` for ``html``: blocks of the main text, joined by line ends, and ``n_chars``.
 
     The main text is what ``article`` or ``main`` elements hold, or the whole body where there is none, without the
     elements named by ``NEVER`` and ``HINTS`` and, outside articles, without subtrees that at least ``template_pages``
-    different pages of the host hold, and ``template_percent`` percent of them.  Pages of a host with equal texts (before
+    different pages of the host hold, and ``template_percent`` percent of them; inside articles the same goes for
+    subtrees of a ``CONTAINER`` and ``inside_percent`` percent.  Pages of a host with equal texts (before
     subtrees go) count as one.  White space in a block is one space, a ``br`` ends a block, character references are decoded.
 
     Null or empty html, and pages without main text, give an empty text.  A null or malformed url is a host of its
@@ -245,7 +260,8 @@ def main_text(
     holds = found.select("host", "content", F.explode("hashes").alias("hash")).distinct()
     holds = holds.groupBy("host", "hash").count().where(F.col("count") >= template_pages)
     template = holds.join(F.broadcast(different) if few else different, "host")
-    template = template.where(F.col("count") * 100 >= F.col("pages") * template_percent)
+    share = F.when(F.col("hash").bitwiseAND(1) == 1, inside_percent).otherwise(template_percent)
+    template = template.where(F.col("count") * 100 >= F.col("pages") * share)
     template = kept(template.select("host", "hash"), "templates")
     each = found.select("key", "host", F.explode("hashes").alias("hash"))
     of_page = each.distinct().join(template, ["host", "hash"]).groupBy("key").agg(F.collect_list("hash").alias("template"))
