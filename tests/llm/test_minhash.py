@@ -1,3 +1,4 @@
+import math
 import random
 
 import duckdb
@@ -17,6 +18,18 @@ def result(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_looks_at_signatures_lose_no_more_than_the_bands(percent):
+    p, lost = percent / 100, 0.0
+    for n in (minhash.SKETCH // minhash.STRIDE, minhash.SKETCH):
+        most = math.ceil(minhash.least_equal(n, percent))
+        lost += math.fsum(
+            math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log(1 - p))
+            for i in range(most)
+        )
+    assert lost < 5e-7 < minhash.MISS
+
+
 def test_words_and_windows_match_plain_python():
     import pyarrow as pa
 

@@ -30,7 +30,7 @@ BLOCK = 512
 #: Values of the signature that such comparisons use, one byte each.  They drop a pair only this many standard
 #: deviations below the threshold; a first look at every ``STRIDE``-th value drops the clear cases.
 SKETCH, STRIDE = 1024, 8
-SIGMAS = 4.0
+SIGMAS = 6.0
 _SET_BITS = np.uint64(48)
 
 
@@ -180,15 +180,17 @@ def _confirm(percent: int):
     return run
 
 
+def least_equal(values: int, percent: int) -> float:
+    """Equal values, of so many, from which a pair may be at the threshold."""
+    return values * percent / 100 - SIGMAS * math.sqrt(values * percent * (100 - percent)) / 100
+
+
 def _compare(percent: int, bands: int):
     """Tasks: of two blocks of a bucket, the pairs of different components whose signatures nearly reach the threshold.
 
     A pair counts only in the first of the buckets it shares.
     """
 
-    def least(values: int) -> float:
-        return values * percent / 100 - SIGMAS * math.sqrt(values * percent * (100 - percent)) / 100
-
     def run(table: pa.Table) -> pa.Table:
         node = np.array(table.column("rep"))
         comp, count, side = (np.array(table.column(c)) for c in ("component", "n_shingles", "side"))
@@ -205,7 +207,7 @@ def _compare(percent: int, bands: int):
             j = j[(comp[j] != comp[i]) & (100 * small >= percent * large)]
             for values in (coarse, sketch):
                 if len(j):
-                    j = j[np.count_nonzero(values[j] == values[i], axis=1) >= least(values.shape[1])]
+                    j = j[np.count_nonzero(values[j] == values[i], axis=1) >= least_equal(values.shape[1], percent)]
             if len(j) and band:
                 j = j[~(keys[j, :band] == keys[i, :band]).any(axis=1)]
             out_a.append(np.minimum(node[i], node[j]))
