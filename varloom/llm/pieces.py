@@ -26,8 +26,10 @@ from .text import Remembered, flat, hash_spans, mix, slices
 UNKNOWN_PENALTY = 10.0
 #: Words of more characters advance alone.
 TOGETHER = 48
-#: Words a task remembers the pieces of, before it forgets all.
-REMEMBERED = 1_500_000
+#: Bytes of remembered words and their pieces in a task, before it forgets all.
+REMEMBERED = 48 << 20
+#: Places times piece lengths that are looked up at once, some 40 bytes each.
+CELLS = 1 << 20
 _SPACE = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -160,8 +162,9 @@ class Model:
                     at.append(np.full(len(best), r))
                     ids.append(best)
                 continue
-            for k in range(0, len(rows), 20_000):
-                some = rows[k : k + 20_000]
+            step = max(1, CELLS // (int(n) * min(self.longest, int(n))))
+            for k in range(0, len(rows), step):
+                some = rows[k : k + step]
                 block = chars[first[some][:, None] + np.arange(n)].astype(np.uint64) + np.uint64(1)
                 out, count = self.best(block)
                 at.append(np.repeat(some, count))
@@ -250,17 +253,15 @@ def model(path: str) -> Model:
     return _MODELS[path]
 
 
-def _encode(path: str):
+def _encode(path: str, keep: list[str]):
     def run(batches):
         own = model(path)
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            for piece in slices(batch, "text", 2 << 20):
                 ids, counts = own.encode(piece.column("text"))
                 cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("row"), piece.column("text"), pa.ListArray.from_arrays(cuts, pa.array(ids))],
-                    ["row", "text", "piece_ids"],
-                )
+                coded = pa.ListArray.from_arrays(cuts, pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in keep], coded], [*keep, "piece_ids"])
 
     return run
 
@@ -280,17 +281,19 @@ def _decode(path: str):
     return run
 
 
-def encode_pieces(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with ``piece_ids``, the ids of the best pieces of ``text``.
+def encode_pieces(docs: DataFrame, path: str, keep_text: bool = True) -> DataFrame:
+    """``docs`` with ``piece_ids``, the ids of the best pieces of ``text``; without ``keep_text`` the text is left out.
 
     ``path`` is a model file that every executor has.  A null or empty text has no ids.  U+2581 in a text is a space.
     A column named ``piece_ids`` is replaced; rows may repeat; no rows give no rows.
     """
     old = [c for c in docs.columns if c not in ("text", "piece_ids")]
     rows = docs.select(F.struct(*old).alias("row"), F.col("text").cast("string").alias("text"))
-    schema = T.StructType(list(rows.schema)).add("piece_ids", T.ArrayType(T.IntegerType()))
-    out = rows.mapInArrow(_encode(path), schema)
-    back = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "piece_ids"]
+    keep = ["row", "text"] if keep_text else ["row"]
+    schema = T.StructType([rows.schema[c] for c in keep]).add("piece_ids", T.ArrayType(T.IntegerType()))
+    out = rows.mapInArrow(_encode(path, keep), schema)
+    names = [c for c in docs.columns if c != "piece_ids" and (keep_text or c != "text")]
+    back = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names]
     return out.select(*back, "piece_ids")
 
 
@@ -309,7 +312,7 @@ def _digest(path: str):
     def run(batches):
         own = model(path)
         for batch in batches:
-            for piece in slices(batch, "text", 4 << 20):
+            for piece in slices(batch, "text", 2 << 20):
                 ids, counts = own.encode(piece.column("text"))
                 edge = np.concatenate([[0], np.cumsum(counts)])
                 crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(edge[:-1], edge[1:])]

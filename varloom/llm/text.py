@@ -53,7 +53,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows: int =
         end = min(max(end, begin + 1), begin + rows, batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
-    hand_back()
+        hand_back()
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +160,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 class Remembered:
-    """Ids of distinct words by their hashes, in plain arrays; at ``most`` words it forgets all and begins anew."""
+    """Ids of distinct words by their hashes, in plain arrays; beyond ``most`` bytes it forgets all and begins anew."""
 
     def __init__(self, most: int, kind: type):
         self.most, self.kind = most, kind
@@ -177,7 +177,8 @@ class Remembered:
         inside = at < len(self.hashes)
         hit[inside] = self.hashes[at[inside]] == distinct[inside]
         new = np.flatnonzero(~hit)
-        if len(new) and len(self.hashes) + len(new) > self.most:
+        held = sum(a.nbytes for a in (self.hashes, self.numbers, self.flat, self.edges))
+        if len(new) and len(self.hashes) and held + 48 * len(new) > self.most:
             self._forget()
             new, at = np.arange(len(distinct)), np.zeros(len(distinct), np.int64)
         if len(new):

@@ -24,8 +24,8 @@ from .text import LOWER, Remembered, Words, flat, hash_spans, slices
 SEQUENCE, BATCH = 2048, 512
 #: Bytes of text of a file.
 FILE_BYTES = 64 << 20
-#: Words a task remembers the ids of, before it forgets all.
-REMEMBERED = 1_500_000
+#: Bytes of remembered words and their ids in a task, before it forgets all.
+REMEMBERED = 64 << 20
 
 INDEX = "doc_id long, part int, path string, first long, n_tokens long"
 
