@@ -59,7 +59,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_pieces, piece_ids`` of every document."""
-    coded = encode_pieces(docs.select("doc_id", "source", "text"), public_tokenizers.path(PIECES))
+    coded = encode_pieces(docs.select("doc_id", "source", "text"), public_tokenizers.path(PIECES), keep_text=False)
     return coded.select("doc_id", "source", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
 
 
