@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from .bwt import remove_repeated_bytes
 from .chat import conversation_digests, prefix_target_examples
 from .decontaminate import contamination
+from .fim import fill_in_middle, restored
 from .minhash import near_duplicates
 from .pages import main_text
 from .pieces import piece_digests
 from .quality import quality_rules
+from .simhash import as_text, edit_likeness, likeness, near_counts
 from .substring import remove_repeats
-from .tables import table
+from .tables import kept, table
 from .tokens import read_tokens, tokens_folder, write_tokens
 from .toxicity import fit, toxicity
+from .trie import prefix_trie
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -178,3 +181,99 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = remove_repeated_bytes(docs, window=100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+MIDDLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS varchar), '')) AS s,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents),
+h AS (
+  SELECT *, len(w) AS n, CAST('0x' || s[1:8] AS bigint) % (len(w) + 1) AS h1, CAST('0x' || s[9:16] AS bigint) % (len(w) + 1) AS h2,
+    CAST('0x' || s[17:24] AS bigint) AS h3, CAST('0x' || s[25:32] AS bigint) AS h4 FROM d),
+f AS (
+  SELECT *, array_to_string(w[1:least(h1, h2)], '') AS p, array_to_string(w[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+    array_to_string(w[greatest(h1, h2) + 1:], '') AS e,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || e || '<M>' || m
+    ELSE '<S>' || e || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f"""
+
+
+@query(MIDDLE_SQL)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fill-in-middle form of every document, and the text rebuilt from it."""
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return cut.select(
+        *["doc_id", "n", "form", "prefix_chars", "middle_chars"],
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id, role, text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 100), sha256(text)) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+crc AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(4294967295::bigint,
+    list_transform(string_split(CAST(conv_id AS varchar), ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc
+  FROM (SELECT DISTINCT conv_id FROM t)),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, crc % 9 AS h FROM crc),
+heads AS (SELECT c.conv_id, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h),
+k AS (SELECT conv_id, count(*) AS k FROM heads GROUP BY conv_id),
+r AS (
+  SELECT * FROM heads UNION ALL
+  SELECT t.conv_id, pos - h + coalesce(k, 0), role, text FROM t JOIN c USING (conv_id) LEFT JOIN k USING (conv_id) WHERE pos > h),
+path AS (
+  SELECT conv_id, pos AS depth, string_agg(sha256(role) || sha256(text), '') OVER w AS key, octet_length(encode(text)) AS bytes
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+node AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM path GROUP BY depth, key),
+kids AS (
+  SELECT p.conv_id, p.depth, count(*) AS n_children
+  FROM node n JOIN path q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1
+  JOIN node p ON p.depth = q.depth AND p.key = q.key GROUP BY ALL),
+total AS (
+  SELECT q.depth, q.key, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * n.bytes) AS saved_tokens
+  FROM node n LEFT JOIN kids USING (conv_id, depth) JOIN path q ON q.conv_id = n.conv_id AND q.depth <= n.depth GROUP BY ALL),
+ends AS (
+  SELECT depth, key, string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) AS ids FROM path
+  WHERE (conv_id, depth) IN (SELECT conv_id, max(depth) FROM path GROUP BY conv_id) GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+  CAST(saved_tokens AS bigint) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node n JOIN total USING (depth, key) LEFT JOIN ends USING (depth, key) LEFT JOIN kids k USING (conv_id, depth)
+LEFT JOIN path q ON q.conv_id = n.conv_id AND q.depth = n.depth - 1
+LEFT JOIN node p ON p.depth = q.depth AND p.key = q.key"""
+
+
+@query(TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations, with the totals of its subtree."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, and their likeness.
+
+    ``n_near``: for documents whose id is divisible by 20, how many others have a fingerprint within the radius.
+    """
+    found = kept(edit_likeness(table(spark, sf_dir, "documents")), "edit_likeness")
+    asked = F.col("doc_id") % 20 == 0
+    counts = near_counts(found, found.where(asked)).withColumn("asked", F.lit(True))
+    joined = found.withColumn("asked", F.when(asked, True)).join(counts, ["fp", "asked"], "left")
+    return joined.select(
+        *["doc_id", "n_chars", "edited_sha256"],
+        as_text(F.col("fp")).alias("fingerprint"),
+        as_text(F.col("edited_fp")).alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        (F.col("n") - 1).alias("n_near"),
+    )
