@@ -1,6 +1,7 @@
 """Operators: functions from DataFrames to DataFrames."""
 
 from .annotate import annotate, match_rate, semi_reduce, suffix_collisions
+from .bloom import bloom_reduce, filter_by_bitmaps, filter_segments, key_bitmaps, merge_bitmaps
 from .manifest import (
     compare_sizes,
     convert_count_check,
@@ -19,7 +20,7 @@ from .manifest import (
     variant_types_present,
 )
 from .predicates import annotated_only, containing, head, matching, natural_order, of_type, on_chroms, region
-from .skew import KeyProfile, heavy_keys, profile_keys, salted_join
+from .skew import KeyProfile, heavy_keys, profile_keys, salted_join, sketch_keys
 from .split import (
     distinct_values,
     expected_splits,
@@ -34,6 +35,12 @@ from .split import (
 )
 
 __all__ = [
+    "bloom_reduce",
+    "filter_by_bitmaps",
+    "filter_segments",
+    "key_bitmaps",
+    "merge_bitmaps",
+    "sketch_keys",
     "KeyProfile",
     "annotate",
     "annotated_only",

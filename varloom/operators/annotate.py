@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import alt_alleles, bare_chrom
 from ..schema import KEYS
+from .bloom import FILTER_BYTES, bloom_reduce, filter_segments
 from .skew import ROWS_PER_SLICE, all_present, heavy_keys, profile_keys, salted_join
 
 #: Default of ``semi_max_rows``: up to this many left rows their key hashes are sent to every executor, eight bytes
@@ -86,6 +87,7 @@ def annotate(
     rows_per_slice: int = ROWS_PER_SLICE,
     semi_max_rows: int = SEMI_MAX_ROWS,
     semi_min_ratio: float = SEMI_MIN_RATIO,
+    bloom_max_bytes: int = FILTER_BYTES,
     left_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``reference`` on ``on``.
@@ -103,9 +105,12 @@ def annotate(
       read, and joins only those.  The reference is never shuffled.  Right for a sample against a
       reference dataset.  A left table of more than ``semi_max_rows`` rows, or one whose key types differ from
       those of the reference, raises.
+    * ``"bloom"`` broadcasts a Bloom filter of the left keys of at most ``bloom_max_bytes``, for cohorts whose hashes
+      are too many.  Only reference rows that pass it are shuffled.  A left table that is too long for the filter, or
+      one with other key types, raises.
     * ``"direct"`` is one shuffle join, for left tables as large as the reference.
-    * ``"auto"`` takes ``"semi"`` when that is possible and the reference is ``semi_min_ratio`` times as long as
-      the left table.
+    * ``"auto"`` takes ``"semi"``, or else ``"bloom"``, when that is possible and the reference is ``semi_min_ratio``
+      times as long as the left table.
 
     ``left_rows`` and ``reference_rows`` are the lengths of the tables; what is not given is counted, once.
 
@@ -118,7 +123,7 @@ def annotate(
     ``strip_chr_prefix`` and ``explode_alt`` change the left table to match references that write
     ``1`` for ``chr1`` or hold one row per alternate allele.
     """
-    if strategy not in ("auto", "semi", "direct"):
+    if strategy not in ("auto", "semi", "bloom", "direct"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if skew not in ("auto", None):
         raise ValueError(f"unknown skew setting {skew!r}")
@@ -142,7 +147,7 @@ def annotate(
         return left.join(right, on, how).select(*columns)
 
     same_types = _same_key_types(left, reference, on)
-    if strategy == "semi" and not same_types:
+    if strategy in ("semi", "bloom") and not same_types:
         raise ValueError("the keys have other types in the reference; cast them or use strategy='direct'")
     rows = left_rows
     if rows is None and (skew or strategy != "direct"):
@@ -150,21 +155,24 @@ def annotate(
     theirs = reference_rows
     if strategy == "auto":
         strategy = "direct"
-        if same_types and rows <= semi_max_rows:
+        fits = "semi" if rows <= semi_max_rows else "bloom" if filter_segments(rows, bloom_max_bytes) else None
+        if same_types and fits:
             theirs = reference.count() if theirs is None else theirs
-            strategy = "semi" if theirs >= semi_min_ratio * rows else "direct"
+            strategy = fits if theirs >= semi_min_ratio * rows else "direct"
     if strategy == "semi":
         right = semi_reduce(right, left, on, semi_max_rows, rows)
+    elif strategy == "bloom":
+        right = bloom_reduce(right, left, on, rows, bloom_max_bytes)
 
     heavy, null_slices = None, 1
     if skew:
         # A table of fewer rows than a slice has no heavy key.
-        mine = profile_keys(left, on, rows_per_slice) if rows > rows_per_slice else None
+        mine = profile_keys(left, on, rows_per_slice, rows) if rows > rows_per_slice else None
         other = None
         if not unique_reference:
             theirs = reference.count() if theirs is None else theirs
             if theirs > rows_per_slice:
-                other = profile_keys(right, on, rows_per_slice)
+                other = profile_keys(right, on, rows_per_slice, theirs)
         heavy = heavy_keys(left, right, on, mine, other, rows_per_slice)
         if how == "left" and mine is not None:
             null_slices = max(1, -(-mine.null_rows // rows_per_slice))

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-``profile_keys`` finds heavy keys exactly: it counts rows per 64-bit key hash, combined before the shuffle, and
-keeps the hashes above the limit.  ``salted_join`` then spreads the rows of those keys over many tasks.  The joined
+``profile_keys`` finds heavy keys exactly without shuffling the keys: a count-min sketch, combined before its shuffle,
+tells which keys can be above the limit, and only those are counted.  ``salted_join`` then spreads the rows of those keys over many tasks.  The joined
 rows are the same whatever is spread.
 """
 
@@ -20,6 +20,8 @@ from ..sources.storage import scratch_dir
 
 #: Rows of one key that a single join task handles comfortably.
 ROWS_PER_SLICE = 1_000_000
+#: Cells of each line of the sketch for every heavy key that there can be; one light key in their square is counted too.
+CELLS = 64
 
 
 @dataclass(frozen=True)
@@ -39,16 +41,52 @@ def all_present(on: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in on])
 
 
-def profile_keys(df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE) -> KeyProfile:
-    """Count rows and find keys above ``rows_per_slice``, in one job that reads only the key columns."""
-    counts = df.select(F.when(all_present(on), F.xxhash64(*on)).alias("hash")).groupBy("hash").agg(F.count("*").alias("n"))
-    null = F.col("hash").isNull()
-    row = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(null, F.col("n"))), F.lit(0)).alias("null_rows"),
-        F.collect_list(F.when(~null & (F.col("n") > rows_per_slice), F.col("hash"))).alias("heavy"),
+def _sketched(hash_column: Column, cells: int) -> list[Column]:
+    """The cell of a key hash in each line of the sketch; null for a null hash."""
+    halves = (hash_column.bitwiseAND(F.lit(0xFFFF_FFFF)), F.shiftrightunsigned(hash_column, 32))
+    return [F.pmod(half, F.lit(cells)) for half in halves]
+
+
+def sketch_keys(df: DataFrame, on: Sequence[str], cells: int) -> DataFrame:
+    """A count-min sketch of the keys: ``line, cell, n``; rows with a null in a key are in the null cell of each line.
+
+    A task hands on at most two rows for each cell, however many keys it sees.  Sketches of several tables with equal
+    ``cells`` are merged by summing ``n``.
+    """
+    hashed = df.select(F.when(all_present(on), F.xxhash64(*on)).alias("hash"))
+    places = [F.struct(F.lit(i).alias("line"), c.alias("cell")) for i, c in enumerate(_sketched(F.col("hash"), cells))]
+    each = hashed.select(F.explode(F.array(*places)).alias("place")).select("place.*")
+    return each.groupBy("line", "cell").agg(F.count("*").alias("n"))
+
+
+def profile_keys(
+    df: DataFrame, on: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE, most_rows: int | None = None
+) -> KeyProfile:
+    """Count rows and find keys above ``rows_per_slice``, reading only the key columns.
+
+    A sketch with ``CELLS`` times as many cells as there can be heavy keys is taken first.  It never counts a key too
+    low, so that a key is heavy only if its cells in all lines are.  Without such cells nothing more is read; else the
+    keys in them are counted exactly.  ``most_rows`` bounds the number of rows, which is counted when it is not given.
+    """
+    most_rows = df.count() if most_rows is None else most_rows
+    cells = max(1024, CELLS * most_rows // max(1, rows_per_slice))
+    sketch = sketch_keys(df, on, cells)
+    null, first = F.col("cell").isNull(), F.col("line") == 0
+    row = sketch.agg(
+        F.coalesce(F.sum(F.when(first, F.col("n"))), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(first & null, F.col("n"))), F.lit(0)).alias("null_rows"),
+        F.collect_list(F.when(~null & (F.col("n") > rows_per_slice), F.struct("line", "cell"))).alias("full"),
     ).first()
-    return KeyProfile(row["rows"], row["null_rows"], tuple(row["heavy"]))
+    full = [[c["cell"] for c in row["full"] if c["line"] == line] for line in (0, 1)]
+    if not all(full):
+        return KeyProfile(row["rows"], row["null_rows"], ())
+    hashed = df.filter(all_present(on)).select(F.xxhash64(*on).alias("hash"))
+    for cell, found in zip(_sketched(F.col("hash"), cells), full):
+        # At most rows / rows_per_slice cells of a line are full.
+        few = df.sparkSession.createDataFrame([(c,) for c in found], "_cell long")
+        hashed = hashed.join(F.broadcast(few), cell == F.col("_cell"), "left_semi")
+    heavy = hashed.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > rows_per_slice)
+    return KeyProfile(row["rows"], row["null_rows"], tuple(r["hash"] for r in heavy.select("hash").collect()))
 
 
 def _key_counts(df: DataFrame, on: Sequence[str], heavy: Sequence[int], name: str) -> DataFrame:

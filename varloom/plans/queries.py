@@ -326,6 +326,51 @@ def annotate_many_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+COHORT_SQL = f"""
+, c AS (SELECT * FROM v WHERE l_orderkey % 3 = 0)
+SELECT {KEY_LIST}, c.tsa, c.qual, l_orderkey, l_linenumber, l_linestatus, r.qual AS qual_ensembl, n_obs
+FROM c LEFT JOIN r {USING}"""
+
+
+def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.variants(spark, sf_dir).filter("l_orderkey % 3 = 0")
+
+
+@query(t.WITH_SQL + COHORT_SQL)
+def annotate_cohort_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More left rows than hashes may be broadcast for: a Bloom filter reduces the reference where it is read."""
+    out = scratch_dir(spark, "annotate_cohort_bloom")
+    t.reference(spark, sf_dir).write.parquet(out)
+    return op.annotate(cohort(spark, sf_dir), spark.read.parquet(out), semi_max_rows=100, semi_min_ratio=0)
+
+
+@query(t.WITH_SQL + COHORT_SQL)
+def annotate_merged_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filters of the parts of a cohort, stored one by one and merged, reduce the reference for the whole."""
+    out = scratch_dir(spark, "annotate_merged_bitmaps")
+    c = cohort(spark, sf_dir)
+    segments = op.filter_segments(c.count())
+    for i in range(3):
+        op.key_bitmaps(c.filter(F.col("l_linenumber") % 3 == i), KEYS, segments).write.mode("append").parquet(out)
+    bitmaps = op.merge_bitmaps(spark.read.parquet(out))
+    found = op.filter_by_bitmaps(t.reference(spark, sf_dir), KEYS, bitmaps, segments)
+    return op.annotate(c, found, strategy="direct", unique_reference=True)
+
+
+@query(
+    t.WITH_SQL
+    + """
+, n AS (SELECT chrom, ref, tsa FROM v)
+SELECT chrom, ref, tsa, CAST(ceil(count(*) / 40.0) AS int) AS left_slices, 1 AS right_slices
+FROM n GROUP BY chrom, ref, tsa HAVING count(*) > 40"""
+)
+def heavy_keys_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys above a limit, found by a count-min sketch and counted exactly."""
+    v, on = t.variants(spark, sf_dir).select("chrom", "ref", "tsa"), ["chrom", "ref", "tsa"]
+    found = op.heavy_keys(v, v, on, op.profile_keys(v, on, 40), None, 40)
+    return v.limit(0).selectExpr(*on, "0 AS left_slices", "1 AS right_slices") if found is None else found
+
+
 @query(t.WITH_SQL + "SELECT * FROM v")
 def annotate_empty_partitioned_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same answer on the package's own layout: no folder has one of the chromosomes."""
