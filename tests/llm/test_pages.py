@@ -88,3 +88,51 @@ def test_query_gives_the_articles(spark):
         article = re.search(r"<article>(.*?)</article>", source, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", article)]
         assert got[page_id] == "\n".join(b for b in blocks if b)
+
+
+def test_names_of_wrappers_do_not_empty_a_page(spark):
+    story = "<p>A story of some length that is the text of this page.</p>"
+    pages = [
+        f'<div id="page" class="hfeed right-sidebar"><div class="menu">Home</div><article><h1>T</h1>{story}</article></div>',
+        f'<article class="post sharing-enabled"><h1>T</h1>{story}</article>',
+        f'<article><h1>T</h1><div class="body has-comments">{story}</div><div class="comments"><p>{"Nice! " * 50}</p></div></article>',
+        f'<div class="hfeed right-sidebar"><h1>T</h1>{story}<div class="widget">Latest</div></div>',
+        f'<div class="social"><main><h1>T</h1>{story}<div class="cookie-notice">ok?</div></main></div>',
+    ]
+    rows = [(i, f"http://h{i}.example/", p) for i, p in enumerate(pages)]
+    got = texts(spark.createDataFrame(rows, SCHEMA))
+    assert all(got[i] == "T\nA story of some length that is the text of this page." for i in range(len(pages)))
+
+
+def test_stray_end_tags_cost_no_walk():
+    import time
+
+    from varloom.llm.pages import _Page
+
+    begin = time.process_time()
+    _Page("<span>" * 40_000 + "</b></i><div></div>" * 20_000, frozenset()).text()
+    assert time.process_time() - begin < 20
+
+
+def test_subtree_counts_match_counting_page_by_page(spark):
+    """The hashes that each host's pages hold, counted by Spark's side of the operator and in Python."""
+    from collections import Counter, defaultdict
+
+    from varloom.llm.pages import TEMPLATE_PAGES, TEMPLATE_PERCENT, _Page, host_of
+
+    box = "<div><p>Follow us</p></div>"
+    rows = [(i, f"http://h{i % 3}.example/{i}", f"{box if i % 4 else ''}<div><p>Own {i // 2}</p><p>Also</p></div>") for i in range(60)]
+    seen, pages = defaultdict(set), {}
+    for i, url, source in rows:
+        page = _Page(source, frozenset())
+        pages[i] = (host_of(url), page)
+        seen[host_of(url)].add((page.text(), frozenset(page.hashes)))
+    template = {}
+    for host, different in seen.items():
+        count = Counter(h for _, hashes in different for h in hashes)
+        total = len({text for text, _ in different})
+        template[host] = {h for h, n in count.items() if n >= TEMPLATE_PAGES and n * 100 >= total * TEMPLATE_PERCENT}
+    got = texts(spark.createDataFrame(rows, SCHEMA))
+    for i, url, source in rows:
+        assert got[i] == _Page(source, frozenset(template[host_of(url)])).text()
+    assert all(got[i] == f"Own {i // 2}" for i in got)

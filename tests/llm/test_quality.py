@@ -26,3 +26,30 @@ def test_odd_rows_have_defined_results(spark):
     want += [(5, 30_000, 0, 0, False, True)] * 2 + [(None, 30_000, 0, 0, False, True)]
     assert got == sorted(want, key=repr)
     assert not quality_rules(df.limit(0)).count()
+
+
+def test_repeated_rows_count_once_as_in_the_sql(spark):
+    import duckdb
+
+    from varloom.llm.queries import LINES_SQL
+
+    common = words("c", 60)
+    docs = [(i, f"{words(f'own{i}x', 70)}\n{common if i < 11 else ''}", "a") for i in range(30)]
+    docs += [(100, f"{words('rep', 60)}\n{words('eat', 40)}", "a")] * 12
+    docs += [(200, f"{words('first', 60)}\n{words('both', 50)}", "a"), (200, f"{words('second', 60)}\n{words('both', 50)}", "a")]
+    # Lines that stand exactly on the limit of ten documents, and in one more.
+    docs += [(300 + i, f"{words(f'l{i}x', 70)}\n{words('ten', 55)}\n{words('more', 55) if i else ''}", "b") for i in range(10)]
+    docs += [(400 + i, f"{words(f'm{i}x', 70)}\n{words('more', 55)}", "b") for i in range(2)]
+    # Exactly two percent of 600 documents, and one document more.
+    docs += [(1000 + i, f"{words(f'n{i}x', 60)}\n{words('even', 55) if i < 12 else ''}\n{words('over', 55) if i < 13 else ''}", "c") for i in range(600)]
+    documents = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    columns = ["doc_id", "n_words", "base_failed", "kept", "n_removed_words", "n_frequent_lines"]
+    got = sorted(map(tuple, quality_rules(documents).select(columns).collect()))
+    pandas = documents.toPandas()
+    expected = duckdb.connect().register("documents", pandas).sql(f"SELECT DISTINCT {', '.join(columns)} FROM ({LINES_SQL})").fetchall()
+    # The SQL sums the rows of an id, so the two ids with several rows are judged below.
+    once = [r for r in got if r[0] not in (100, 200)]
+    assert once == sorted(r for r in expected if r[0] not in (100, 200))
+    kept = {g[0]: g[3] for g in got}
+    assert len(got) == len(docs) and kept[100] and kept[200] and kept[300] and not kept[301]
+    assert kept[1000 + 13] and {g[0]: g[4] for g in got}[1012] == 55

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -79,27 +80,41 @@ def _number(digest: bytes) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def _hinted(tag: str, attributes: str, in_main: bool) -> bool:
+def _hint(tag: str, attributes: str) -> int:
+    """How strongly class, id and role tell against an element: 2 by a whole name, 1 by a word in one, else 0."""
     if not attributes or tag in ("html", "body", "main"):
-        return False
-    words = {w for _, value in _NAMED.findall(attributes) for w in _WORD.findall(value.lower())}
-    return bool(words & HINTS) or ("header" in words and not in_main) or bool(_HIDDEN.search(attributes))
+        return 0
+    names = [n for _, value in _NAMED.findall(attributes) for n in value.lower().strip("\"'").split()]
+    if not HINTS.isdisjoint(names):
+        return 2
+    return int(any(not HINTS.isdisjoint(_WORD.findall(n)) for n in names))
+
+
+def _masthead(tag: str, attributes: str) -> bool:
+    """A header by its tag or by a word of its class, id or role."""
+    return tag == "header" or any("header" in _WORD.findall(value.lower()) for _, value in _NAMED.findall(attributes or ""))
 
 
 class _Page:
     """One pass over a page: the text blocks that stay, and the hashes of subtrees that can be template.
 
-    A hash is odd for a subtree inside the article and even for others.
+    A hash is odd for a subtree inside the article and even for others.  An element that a hint tells against loses its
+    text unless it holds an article, or, if only a word of a longer name is the hint, more than half of the text: such
+    names stand on wrappers (``right-sidebar``) as well.
     """
 
     def __init__(self, source: str, template: frozenset[int], hashing: bool = True):
-        self.blocks: list[str] = []
-        self.main: list[str] | None = None
+        # Blocks with the numbers of the hinted elements around them.
+        self.blocks: list[tuple[str, tuple[int, ...]]] = []
+        self.main: list[tuple[str, tuple[int, ...]]] | None = None
+        self.weak: list[bool] = []
+        self.holds_main: set[int] = set()
+        self.open: Counter[str] = Counter()
         self.hashes: set[int] = set()
         self.template, self.hashing = template, hashing
         self.buffer: list[str] = []
-        # Open elements: tag, dropped, blocks before it, what its hash is made of, in the article.
-        self.stack: list[tuple[str, bool, int, list[bytes], bool]] = [("", False, 0, [], False)]
+        # Open elements: tag, dropped, blocks before it, what its hash is made of, in the article, hinted elements.
+        self.stack: list[tuple[str, bool, int, list[bytes], bool, tuple[int, ...]]] = [("", False, 0, [], False, ())]
         at = 0
         find = _MARKUP.search
         while at < len(source):
@@ -128,7 +143,14 @@ class _Page:
         self._flush()
 
     def text(self) -> str:
-        return "\n".join(self.blocks if self.main is None else self.main)
+        blocks = self.blocks if self.main is None else self.main
+        blocks = [(b, hints) for b, hints in blocks if all(self.weak[h] or h in self.holds_main for h in hints)]
+        size, most = Counter(), sum(len(block) for block, _ in blocks)
+        for block, hints in blocks:
+            for h in hints:
+                size[h] += len(block)
+        gone = {h for h in size if h not in self.holds_main and size[h] * 2 <= most}
+        return "\n".join(block for block, hints in blocks if gone.isdisjoint(hints))
 
     def _text(self, raw: str):
         frame = self.stack[-1]
@@ -141,13 +163,13 @@ class _Page:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             if text:
-                self.blocks.append(text)
+                self.blocks.append((text, self.stack[-1][5]))
             self.buffer = []
 
     def _start(self, tag: str, attributes: str):
         if tag in BLOCK:
             self._flush()
-            for i in range(len(self.stack) - 1, 0, -1):
+            for i in range(len(self.stack) - 1 if self.open["p"] else 0, 0, -1):
                 if self.stack[i][0] == "p":
                     while len(self.stack) > i:
                         self._close()
@@ -156,7 +178,8 @@ class _Page:
                     break
             if tag in _CLOSED_BY:
                 same, bounds = _CLOSED_BY[tag]
-                for i in range(len(self.stack) - 1, 0, -1):
+                there = any(self.open[t] for t in same.split())
+                for i in range(len(self.stack) - 1 if there else 0, 0, -1):
                     if self.stack[i][0] in bounds:
                         break
                     if self.stack[i][0] in same.split():
@@ -167,13 +190,27 @@ class _Page:
             return
         parent = self.stack[-1]
         in_main = parent[4] or tag in ("article", "main")
-        dropped = parent[1] or tag in NEVER or (tag == "header" and not in_main) or _hinted(tag, attributes, in_main)
+        hidden = bool(attributes) and tag not in ("html", "body", "main") and bool(_HIDDEN.search(attributes))
+        masthead = not in_main and tag not in ("html", "body") and _masthead(tag, attributes)
+        dropped = parent[1] or tag in NEVER or hidden or masthead
+        hints = parent[5]
         if not dropped and in_main and not parent[4]:
             self._flush()
-        self.stack.append((tag, dropped, len(self.blocks), [tag.encode()], in_main))
+            self.holds_main.update(hints)
+        hint = 0 if dropped else _hint(tag, attributes)
+        if tag == "article":
+            # A comment inside an article may be one itself.
+            hint = 2 if hint == 2 and parent[4] else 0
+        if hint:
+            # What was read before the element is not inside it.
+            self._flush()
+            hints = (*hints, len(self.weak))
+            self.weak.append(hint == 1)
+        self.open[tag] += 1
+        self.stack.append((tag, dropped, len(self.blocks), [tag.encode()], in_main, hints))
 
     def _end(self, tag: str):
-        for i in range(len(self.stack) - 1, 0, -1):
+        for i in range(len(self.stack) - 1 if self.open[tag] else 0, 0, -1):
             if self.stack[i][0] == tag:
                 while len(self.stack) > i:
                     self._close()
@@ -182,9 +219,11 @@ class _Page:
             self._flush()
 
     def _close(self):
-        tag, dropped, before, parts, in_main = self.stack.pop()
-        if tag in BLOCK:
+        tag, dropped, before, parts, in_main, hints = self.stack[-1]
+        if tag in BLOCK or hints != self.stack[-2][5]:
             self._flush()
+        self.stack.pop()
+        self.open[tag] -= 1
         parent = self.stack[-1]
         if self.hashing:
             digest = blake2b(b"\x00".join(parts), digest_size=8).digest()
@@ -241,7 +280,8 @@ def main_text(
     """``pages`` (``url, html``) with ``text`` for ``html``: blocks of the main text, joined by line ends, and ``n_chars``.
 
     The main text is what ``article`` or ``main`` elements hold, or the whole body where there is none, without the
-    elements named by ``NEVER`` and ``HINTS`` and, outside articles, without subtrees that at least ``template_pages``
+    elements named by ``NEVER``, mastheads, those that ``HINTS`` tell against (but no wrapper of an article or, by a part
+    of a name, of most of the text) and, outside articles, without subtrees that at least ``template_pages``
     different pages of the host hold, and ``template_percent`` percent of them; inside articles the same goes for
     subtrees of a ``CONTAINER`` and ``inside_percent`` percent.  Pages of a host with equal texts (before
     subtrees go) count as one.  White space in a block is one space, a ``br`` ends a block, character references are decoded.

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import Remembered, flat, hash_spans, mix, slices
+from .text import Remembered, flat, hand_back, hash_spans, mix, slices
 
 #: A character without a piece costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -262,6 +262,7 @@ def _encode(path: str, keep: list[str]):
                 cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
                 coded = pa.ListArray.from_arrays(cuts, pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in keep], coded], [*keep, "piece_ids"])
+                hand_back()
 
     return run
 

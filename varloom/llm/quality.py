@@ -121,7 +121,8 @@ def quality_rules(
     occur twice), or if without its frequent lines it is depleted: under 50 words, or over half of them gone.
 
     A null text is empty and fails; a null host is a host of its own.  Rows without doc_id are judged but lend no line
-    a count; rows that repeat a doc_id count each.  Other columns are ignored; no rows give no rows.
+    a count; rows that
+    repeat a doc_id are judged each and count as one document.  Other columns are ignored; no rows give no rows.
     """
     source = F.coalesce(F.xxhash64(F.col(host).cast("string")), F.lit(0)) if host in docs.columns else F.lit(0)
     rows = docs.select(
@@ -135,7 +136,12 @@ def quality_rules(
     copies = stats.where("doc_id IS NOT NULL").groupBy("host", "content").agg(F.min("doc_id").alias("doc_id"))
     copies = kept(copies.select("doc_id", "host"), "distinct_texts")
     size = copies.groupBy("host").agg(F.count("*").alias("documents"))
-    lines = stats.join(copies, ["doc_id", "host"], "left_semi").select("host", F.explode("lines").alias("line"))
+    # A document counts once towards a line: of an id with several rows the lines are made distinct first.
+    ids = stats.where("doc_id IS NOT NULL").groupBy("doc_id", "host").agg((F.count("*") > 1).alias("repeated"))
+    ids = ids.join(copies.distinct(), ["doc_id", "host"], "left_semi")
+    lines = stats.join(ids, ["doc_id", "host"]).select("repeated", "doc_id", "host", F.explode("lines").alias("line"))
+    again = lines.where("repeated").select("doc_id", "host", "line").distinct()
+    lines = lines.where("NOT repeated").select("host", "line").unionByName(again.select("host", "line"))
     frequent = (
         lines.groupBy("host", "line")
         .agg(F.count("*").alias("n"))

@@ -53,7 +53,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20, rows: int =
         end = min(max(end, begin + 1), begin + rows, batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
-        hand_back()
+    hand_back()
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
