@@ -26,7 +26,8 @@ from ..operators.split import (
 from ..schema import CORE_SCHEMA, KEYS, TYPE_COLUMN, InfoField, info_columns, info_type, variant_schema
 from ..sources.catalog import collect_parquet_files, file_catalog, partition_value
 from ..sources.presets import Preset
-from ..sources.reference import open_reference, position_ranges, within_ranges
+from ..sources.ranges import in_touched_files, range_table, within_range_table
+from ..sources.reference import open_reference
 from ..sources.storage import path_exists, qualified, scratch_dir
 from ..sources.vcf import header_info, header_lines, merge_info, read_vcf, select_info
 
@@ -62,11 +63,14 @@ def annotate_vcf(
     out: str | None = None,
     info_fields: Sequence[str | InfoField] | None = None,
     bgzf: bool | str = "auto",
+    choose_files: bool = False,
     **options,
 ) -> DataFrame | str:
     """Annotate VCF files against a reference dataset.
 
-    Only the reference data of the chosen type and of the chromosomes that occur in the VCF is read.
+    Only the reference data of the chosen type and of the chromosomes and stretches that occur in the VCF is read.
+    With ``choose_files`` the footers of the reference say first which of its files hold such stretches, which pays
+    for references of many files sorted by position.
     Without ``out`` the annotated table comes back, otherwise its path.  ``options`` go to
     ``annotate``.
     """
@@ -79,13 +83,17 @@ def annotate_vcf(
     named = variants
     if options.get("strip_chr_prefix"):
         named = variants.withColumn("chrom", bare_chrom("chrom"))
-    ranges = position_ranges(named)
-    found = open_reference(spark, reference, variant_type, sorted(ranges))
+    stretches = scratch_dir(spark, "stretches")
+    range_table(named).write.parquet(stretches)
+    ranges = spark.read.parquet(stretches)
+    found = open_reference(spark, reference, variant_type, named.filter("chrom IS NOT NULL").select("chrom").distinct())
     if found is not None:
         # Lengths of Parquet tables come from their footers, before position filters.
         options = {"left_rows": None if options.get("explode_alt") else variants.count(), "reference_rows": found.count(), **options}
         if {"chrom", "start"} <= set(on):
-            found = within_ranges(found, ranges)
+            if choose_files:
+                found = in_touched_files(found, ranges)
+            found = within_range_table(found, ranges)
     annotated = annotate(variants, found, on, how, **options)
     return annotated if out is None else save_annotated(annotated, out)
 

@@ -19,10 +19,13 @@ from ..sources import (
     match_reference_files,
     open_reference,
     parse_lines,
+    range_table,
     scratch_dir,
     select_info,
     vcf_to_parquet,
+    within_range_table,
 )
+from ..sources.ranges import BIN
 from ..sources.storage import qualified, rename_files
 from ..streaming import annotate_stream, ingest, stream_vcf
 from . import jobs
@@ -326,6 +329,47 @@ def annotate_many_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REGION_SAMPLE = "chrom IN ('2', 'X') AND start % 4000 < 300"
+
+
+@query(
+    t.WITH_SQL
+    + f"""
+, s AS (SELECT * FROM v WHERE {REGION_SAMPLE}),
+m AS (SELECT {KEY_LIST}, count(*) AS n_obs FROM v WHERE l_linestatus = 'F' GROUP BY {KEY_LIST})
+SELECT s.l_orderkey AS ok, s.l_linenumber AS ln, {KEY_LIST}, n_obs FROM s LEFT JOIN m {USING}"""
+)
+def annotate_in_touched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel of stretches against a reference sorted by position: footers tell which files hold them."""
+    out = scratch_dir(spark, "annotate_in_touched_files")
+    v = t.variants(spark, sf_dir)
+    t.vcf_text(v.filter(REGION_SAMPLE)).write.text(f"{out}/sample.vcf")
+    known = v.filter("l_linestatus = 'F'").groupBy(*KEYS).agg(F.count("*").alias("n_obs"))
+    known.repartitionByRange(64, "chrom", "start").sortWithinPartitions("chrom", "start").write.parquet(f"{out}/reference")
+    df = jobs.annotate_vcf(
+        spark, f"{out}/sample.vcf", f"{out}/reference", None, info_fields=t.VCF_INFO, choose_files=True, unique_reference=True
+    )
+    return df.select("ok", "ln", *KEYS, "n_obs").withColumns({"ok": F.col("ok").cast("long")})
+
+
+@query(
+    t.WITH_SQL
+    + f"""
+, s AS (SELECT DISTINCT chrom, start FROM v WHERE {REGION_SAMPLE})
+SELECT chrom, count(*) AS n_rows, min(start) AS lo, max(start) AS hi
+FROM (SELECT {KEY_LIST} FROM v WHERE l_linestatus = 'F') r
+WHERE EXISTS (SELECT 1 FROM s WHERE s.chrom = r.chrom AND s.start // {BIN} = r.start // {BIN}
+  GROUP BY s.start // {BIN} HAVING r.start BETWEEN min(s.start) AND max(s.start))
+GROUP BY chrom"""
+)
+def reference_within_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference rows in the stretches between the first and last variant of each bin."""
+    out = scratch_dir(spark, "stretches")
+    range_table(t.variants(spark, sf_dir).filter(REGION_SAMPLE)).write.parquet(out)
+    found = within_range_table(t.reference_rows(spark, sf_dir), spark.read.parquet(out))
+    return found.groupBy("chrom").agg(F.count("*").alias("n_rows"), F.min("start").alias("lo"), F.max("start").alias("hi"))
+
+
 COHORT_SQL = f"""
 , c AS (SELECT * FROM v WHERE l_orderkey % 3 = 0)
 SELECT {KEY_LIST}, c.tsa, c.qual, l_orderkey, l_linenumber, l_linestatus, r.qual AS qual_ensembl, n_obs

@@ -2,15 +2,14 @@
 
 from .catalog import collect_parquet_files, file_catalog, list_paths, partition_value
 from .presets import Preset, clinvar, dbsnp, ensembl, gnomad
+from .ranges import in_touched_files, range_table, row_groups, touched, within_range_table
 from .reference import (
     chromosome_list,
     chromosomes,
     match_reference_files,
     open_reference,
-    position_ranges,
     prune,
     read_partitioned,
-    within_ranges,
 )
 from .storage import finished, path_exists, scratch_dir
 from .vcf import (
@@ -41,6 +40,7 @@ __all__ = [
     "gnomad",
     "header_info",
     "header_lines",
+    "in_touched_files",
     "list_paths",
     "match_reference_files",
     "merge_info",
@@ -48,15 +48,17 @@ __all__ = [
     "parse_lines",
     "partition_value",
     "path_exists",
-    "position_ranges",
     "prune",
+    "range_table",
     "read_info_fields",
     "read_partitioned",
     "read_vcf",
     "resolve_info",
+    "row_groups",
     "scratch_dir",
     "select_info",
+    "touched",
     "vcf_lines",
     "vcf_to_parquet",
-    "within_ranges",
+    "within_range_table",
 ]

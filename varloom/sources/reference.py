@@ -7,8 +7,6 @@ Three layouts are understood: ``tsa=<type>/chrom=<chrom>/`` as written by this p
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +20,8 @@ from .storage import folder_names, path_exists
 # Names of a chromosome's file in the folder layout, in the order they are tried.
 CHROM_FILE_NAMES = ("homo_sapiens-chr{}.parquet", "chr{}.parquet", "{}.parquet")
 
-#: Ranges of positions in the predicate that prunes.  More chromosomes than that share the hull of their ranges.
-RANGE_GROUPS = 200
+#: Partition folders named in the predicate that prunes; with more the range join alone chooses among them.
+MOST_FOLDERS = 200
 
 
 def chromosomes(df: DataFrame) -> DataFrame:
@@ -68,34 +66,6 @@ def prune(
     return reference
 
 
-def position_ranges(df: DataFrame) -> dict[str, tuple[int | None, int | None]]:
-    """First and last position per chromosome, one entry per contig of the assembly; None without a position."""
-    known = df.filter(F.col("chrom").isNotNull())
-    rows = known.groupBy("chrom").agg(F.min("start").alias("lo"), F.max("start").alias("hi")).collect()
-    return {r["chrom"]: (r["lo"], r["hi"]) for r in rows}
-
-
-def within_ranges(reference: DataFrame, ranges: dict[str, tuple[int | None, int | None]] | None) -> DataFrame:
-    """Reference rows inside the ranges, and with very many chromosomes some more of the same chromosomes.
-
-    A join on chromosome and position finds the same matches.  On a reference sorted by position the
-    scan skips the row groups outside, which for a gene panel is nearly all of them.  Up to ``RANGE_GROUPS``
-    chromosomes have a range of their own; more are gathered in groups of like ranges under their common hull.
-    """
-    if not ranges:
-        return reference
-    known = sorted((lo, hi, c) for c, (lo, hi) in ranges.items() if lo is not None)
-    if not known:
-        return reference.filter(F.lit(False))
-    size = -(-len(known) // RANGE_GROUPS)
-    inside = []
-    for i in range(0, len(known), size):
-        group = known[i : i + size]
-        lo, hi = group[0][0], max(g[1] for g in group)
-        inside.append(F.col("chrom").isin([g[2] for g in group]) & F.col("start").between(lo, hi))
-    return reference.filter(reduce(or_, inside))
-
-
 def match_reference_files(files: DataFrame, chroms: DataFrame) -> DataFrame:
     """``chrom, path``: for each chromosome the first of its candidate files that exists.
 
@@ -140,12 +110,15 @@ def open_reference(
     spark: SparkSession,
     path: str,
     variant_type: str | None = "SNV",
-    chroms: Sequence[str] | None = None,
+    chroms: Sequence[str] | DataFrame | None = None,
     schema: T.StructType | None = None,
     type_column: str = TYPE_COLUMN,
 ) -> DataFrame | None:
     """Open a local or shared reference dataset for the given type and chromosomes.
 
+    Chromosomes given as a table (``chrom``) never reach the driver: they are joined with the names of folders or
+    files, and rows of other chromosomes may come back, for ``within_range_table`` to drop.
+
     Returns None when no file of the dataset covers any of the chromosomes, as its folder or file names tell; a
     dataset that does not name chromosomes is filtered by them.  A dataset without Parquet files, or without the
     variant type, raises and names the types that exist.  ``variant_type=None`` reads all ``.parquet`` files below
@@ -166,6 +139,12 @@ def open_reference(
             if variant_type is not None:
                 files = files.filter(partition_value("path", type_column) == variant_type)
             by_chrom = files.select(partition_value("path", "chrom").alias("chrom")).distinct()
+            if isinstance(chroms, DataFrame):
+                named = by_chrom.filter("chrom IS NOT NULL")
+                covered = [r["chrom"] for r in named.join(chroms, "chrom", "left_semi").limit(MOST_FOLDERS + 1).collect()]
+                if not covered and not named.isEmpty():
+                    return None
+                return prune(whole, variant_type, covered if 0 < len(covered) <= MOST_FOLDERS else None, type_column)
             there = {r["chrom"] for r in by_chrom.collect()}
             if there != {None}:
                 chroms = [c for c in chroms if c in there]
@@ -184,7 +163,7 @@ def open_reference(
             raise FileNotFoundError(f"no variant type {variant_type!r} in {path}; found: {known}")
         files = list_paths(spark, folder, r"\.parquet$", file_only=False)
         if chroms is not None:
-            wanted = spark.createDataFrame([(c,) for c in chroms], "chrom string")
+            wanted = chroms if isinstance(chroms, DataFrame) else spark.createDataFrame([(c,) for c in chroms], "chrom string")
             files = match_reference_files(files, wanted)
         paths = sorted(r["path"] for r in files.select("path").collect())
         if not paths:
@@ -197,4 +176,5 @@ def open_reference(
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     if file_catalog(spark, root, name_glob="*.parquet").isEmpty():
         raise FileNotFoundError(f"no Parquet files below {path}")
-    return prune((reader.schema(schema) if schema else reader).parquet(root), None, chroms)
+    listed = None if isinstance(chroms, DataFrame) else chroms
+    return prune((reader.schema(schema) if schema else reader).parquet(root), None, listed)
