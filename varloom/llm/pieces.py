@@ -27,7 +27,7 @@ UNKNOWN_PENALTY = 10.0
 #: Words of more characters advance alone.
 TOGETHER = 48
 #: Bytes of remembered words and their pieces in a task, before it forgets all.
-REMEMBERED = 48 << 20
+REMEMBERED = 24 << 20
 #: Places times piece lengths that are looked up at once, some 40 bytes each.
 CELLS = 1 << 20
 _SPACE = "▁"
