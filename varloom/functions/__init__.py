@@ -1,7 +1,7 @@
 """Column functions: every one takes and returns Column expressions, none is a Python UDF."""
 
 from .alleles import alt_alleles, bare_chrom, chrom_sort_keys
-from .info import framed_info, info_flag, info_value, typed_info
+from .info import framed_info, info_flag, info_value, info_variant, late_info, typed_info
 from .names import (
     base_name,
     default_parquet_name,
@@ -29,6 +29,8 @@ __all__ = [
     "human_size",
     "info_flag",
     "info_value",
+    "info_variant",
+    "late_info",
     "is_index_file",
     "is_parquet_file",
     "is_vcf_file",

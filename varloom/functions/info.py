@@ -43,7 +43,36 @@ def typed_info(framed: str | Column, field: InfoField) -> Column:
     target = info_type(field.number, field.type)
     if isinstance(target, T.BooleanType):
         return info_flag(framed, field.id)
-    value = _present(_present(info_value(framed, field.id), ""), ".")
+    return _converted(info_value(framed, field.id), target)
+
+
+def info_variant(framed: str | Column) -> Column:
+    """All keys of an INFO string as one VARIANT of texts; a key without a value holds ``true``.
+
+    Nothing about the keys has to be known, so files whose headers differ fit into one column.  No keys give an empty
+    object.  A key that occurs twice keeps its last value.
+    """
+    col = F.col(framed) if isinstance(framed, str) else framed
+    cut = F.split(col, ";")
+    cells = F.filter(cut, lambda x: (x != "") & (x != "."))
+    keys = F.transform(cells, lambda x: F.substring_index(x, "=", 1))
+    values = F.transform(cells, lambda x: F.when(x.contains("="), F.substring(x, F.locate("=", x) + 1, F.length(x))).otherwise("true"))
+    entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    entries = F.when(F.size(F.array_distinct(keys)) < F.size(keys), last).otherwise(entries)
+    return F.to_variant_object(F.map_from_entries(entries))
+
+
+def late_info(variant: str | Column, field: InfoField) -> Column:
+    """The field of a VARIANT made by ``info_variant``, converted as ``typed_info`` does."""
+    col = F.col(variant) if isinstance(variant, str) else variant
+    value = F.try_variant_get(col, f'$["{field.id}"]', "string")
+    target = info_type(field.number, field.type)
+    return value.isNotNull() if isinstance(target, T.BooleanType) else _converted(value, target)
+
+
+def _converted(value: Column, target: T.DataType) -> Column:
+    value = _present(_present(value, ""), ".")
     if isinstance(target, T.StringType):
         return value
     if isinstance(target, T.ArrayType):

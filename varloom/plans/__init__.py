@@ -16,6 +16,7 @@ from .jobs import (
     split_existing,
     split_pending,
 )
+from .statistics import file_states, merged_statistics, refresh_statistics
 
 __all__ = [
     "Prepared",
@@ -25,10 +26,13 @@ __all__ = [
     "build_reference",
     "convert_pending",
     "describe_dataset",
+    "file_states",
+    "merged_statistics",
     "pending_conversions",
     "prepare",
     "publish_plan",
     "read_converted",
+    "refresh_statistics",
     "save_annotated",
     "split_existing",
     "split_pending",

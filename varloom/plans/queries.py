@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import operators as op
-from ..schema import ALT_SEPARATOR, KEYS
+from ..schema import ALT_SEPARATOR, KEYS, InfoField
 from ..sources import (
     chromosome_list,
     chromosomes,
@@ -22,6 +22,7 @@ from ..sources import (
     range_table,
     scratch_dir,
     select_info,
+    type_info,
     vcf_to_parquet,
     within_range_table,
 )
@@ -30,6 +31,7 @@ from ..sources.storage import qualified, rename_files
 from ..streaming import annotate_stream, ingest, stream_vcf
 from . import jobs
 from . import tables as t
+from .statistics import merged_statistics, refresh_statistics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1117,6 +1119,44 @@ def stream_ingest_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{out}/variants")
 
 
+@query(
+    t.WITH_SQL
+    + t.PARSED_SQL.replace(
+        "l_linestatus = 'F' AS f", "l_linestatus = 'F' AS f, CASE WHEN l_orderkey % 2 = 1 THEN CAST(l_orderkey % 7 AS double) END AS af"
+    )
+)
+def stream_variant_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose headers differ, taken up by a stream that is told no field, and typed when they are read."""
+    out = scratch_dir(spark, "stream_variant_info")
+    v = t.variants(spark, sf_dir)
+    t.vcf_text(v.filter("l_orderkey % 2 = 0")).write.text(f"{out}/landing/old")
+    more = t.vcf_text(v.filter("l_orderkey % 2 = 1").withColumn("af", F.col("l_orderkey") % 7), ["af"])
+    more.write.text(f"{out}/landing/new")
+    stream = stream_vcf(spark, f"{out}/landing/*", variant="info")
+    finish(ingest(stream, f"{out}/variants", f"{out}/checkpoint"))
+    stored = spark.read.schema(stream.schema).parquet(f"{out}/variants")
+    return type_info(stored, [*t.VCF_INFO, InfoField("AF", "1", "Float")])
+
+
+@query(
+    t.WITH_SQL
+    + """
+SELECT tsa AS variant_type, count(*) AS n_rows, min(start) AS first_start, max(start) AS last_start, true AS n_keys_close
+FROM v GROUP BY tsa"""
+)
+def statistics_in_two_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of files of a first wave, then of only what the second wave added, merged."""
+    out = scratch_dir(spark, "statistics")
+    v = t.variants(spark, sf_dir)
+    for wave in (0, 1):
+        v.filter(F.col("l_orderkey") % 2 == wave).write.mode("append").partitionBy("tsa").parquet(f"{out}/data")
+        refresh_statistics(spark, f"{out}/data", f"{out}/state")
+    merged = merged_statistics(spark, f"{out}/data", f"{out}/state")
+    exact = v.groupBy(F.col("tsa").alias("variant_type")).agg(F.countDistinct(*KEYS).alias("n"))
+    close = (F.abs(F.col("n_keys") - F.col("n")) <= F.col("n") * 0.03 + 1).alias("n_keys_close")
+    return merged.join(exact, "variant_type").select("variant_type", "n_rows", "first_start", "last_start", close)
+
+
 STREAM_ANNOTATED_SQL = f"""
 SELECT {KEY_LIST}, v.tsa, v.qual, l_orderkey AS ok, r.qual AS qual_ensembl, coalesce(n_obs, 0) AS n_obs FROM v LEFT JOIN r {USING}"""
 

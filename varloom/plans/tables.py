@@ -123,8 +123,8 @@ HOT_SQL = """
 """
 
 
-def vcf_text(df: DataFrame) -> DataFrame:
-    """VCF lines of derived variants, with the remaining columns in INFO."""
+def vcf_text(df: DataFrame, more: list[str] = []) -> DataFrame:
+    """VCF lines of derived variants, with the remaining columns in INFO, and ``more`` under their upper-case names."""
     info = F.concat(
         F.lit("TSA="),
         F.col("tsa"),
@@ -133,6 +133,7 @@ def vcf_text(df: DataFrame) -> DataFrame:
         F.lit(";LN="),
         F.col("l_linenumber").cast("string"),
         F.when(F.col("l_linestatus") == "F", ";F").otherwise(""),
+        *[F.concat(F.lit(f";{c.upper()}="), F.col(c).cast("string")) for c in more],
     )
     return df.select(
         F.concat_ws(

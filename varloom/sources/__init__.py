@@ -22,6 +22,7 @@ from .vcf import (
     read_vcf,
     resolve_info,
     select_info,
+    type_info,
     vcf_lines,
     vcf_to_parquet,
 )
@@ -58,6 +59,7 @@ __all__ = [
     "scratch_dir",
     "select_info",
     "touched",
+    "type_info",
     "vcf_lines",
     "vcf_to_parquet",
     "within_range_table",

@@ -13,7 +13,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import base_name, framed_info, is_index_file, percent_decoded, plain_path, source_name, typed_info
+from ..functions import (
+    base_name,
+    framed_info,
+    info_variant,
+    is_index_file,
+    late_info,
+    percent_decoded,
+    plain_path,
+    source_name,
+    typed_info,
+)
 from ..schema import ALT_SEPARATOR, InfoField, info_columns
 from .blocks import SPLIT_BYTES, block_gzip_files, read_block_lines
 from .catalog import file_catalog
@@ -28,12 +38,14 @@ def parse_lines(
     info: Sequence[InfoField] = (),
     mode: str = "failfast",
     keep: Sequence[str] = (),
+    variant: str | None = None,
 ) -> DataFrame:
     """Variants from a frame with a ``value`` column; header and blank lines are dropped.
 
     Only the first eight columns are cut out, so sample columns cost nothing however many there are.
     ``mode="failfast"`` raises on a line with too few columns or an unreadable position;
     ``mode="permissive"`` gives nulls instead.  ``keep`` names further columns of ``lines`` to retain.
+    ``variant`` names a VARIANT column for all of INFO, which ``type_info`` takes fields from later.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -78,9 +90,19 @@ def parse_lines(
         "qual",
         "filter",
         *[typed_info("_info", f).alias(names[f.id]) for f in info],
+        *([info_variant("_info").alias(variant)] if variant else []),
     )
 
 
+def type_info(df: DataFrame, fields: Sequence[InfoField], variant: str = "info") -> DataFrame:
+    """``df`` with typed columns for the fields in place of its VARIANT column; a field that a row lacks is null.
+
+    The columns are those that ``parse_lines`` makes of the same fields.
+    """
+    names = info_columns(fields)
+    return df.select(*[c for c in df.columns if c != variant], *[late_info(variant, f).alias(names[f.id]) for f in fields])
+
+
 def header_info(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``id, number, type, description`` of the INFO declarations among the lines.
 

@@ -25,11 +25,13 @@ def stream_vcf(
     mode: str = "failfast",
     max_files_per_trigger: int | None = None,
     name_glob: str | None = None,
+    variant: str | None = None,
 ) -> DataFrame:
     """A stream of variants from the VCF files that land in a folder.
 
     A stream cannot discover columns, so the INFO fields are given: from ``read_info_fields`` on a
-    first file, or by hand.  Index files give no rows.  A ``.bgz`` file, which the text source would take for plain
+    first file, or by hand.  ``variant`` names a VARIANT column that takes all of INFO instead, whatever the headers of
+    files that land later declare; ``type_info`` makes typed columns of it at any time.  Index files give no rows.  A ``.bgz`` file, which the text source would take for plain
     text, raises in every mode; the same file named ``.gz`` is read.
     """
     reader = spark.readStream.format("text")
@@ -42,7 +44,7 @@ def stream_vcf(
     lines = lines.filter(~is_index_file(path))
     refused = F.concat(F.lit("a stream cannot read block-gzip by the name .bgz; name it .gz: "), path)
     packed = F.when(path.endswith(".bgz"), F.raise_error(refused).cast("string")).otherwise(F.col("value"))
-    return parse_lines(lines.select(packed.alias("value")), info, mode)
+    return parse_lines(lines.select(packed.alias("value")), info, mode, variant=variant)
 
 
 def ingest(
