@@ -20,11 +20,13 @@ from ..sources import (
     open_reference,
     parse_lines,
     range_table,
+    read_snapshot,
     scratch_dir,
     select_info,
     type_info,
     vcf_to_parquet,
     within_range_table,
+    write_snapshot,
 )
 from ..sources.ranges import BIN
 from ..sources.storage import qualified, rename_files
@@ -1138,6 +1140,24 @@ def stream_variant_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_info(stored, [*t.VCF_INFO, InfoField("AF", "1", "Float")])
 
 
+@query(
+    t.WITH_SQL
+    + """
+SELECT 'between' AS seen, tsa, count(*) AS n_rows FROM v WHERE l_orderkey % 2 = 0 GROUP BY tsa
+UNION ALL SELECT 'after', tsa, count(*) FROM v WHERE l_orderkey % 2 = 0 OR tsa = 'SNV' GROUP BY tsa"""
+)
+def read_between_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader between two waves goes on with the first, while the second replaces one type for those who come later."""
+    out = scratch_dir(spark, "read_between_waves")
+    v = t.variants(spark, sf_dir)
+    write_snapshot(v.filter("l_orderkey % 2 = 0"), out, ["tsa"])
+    between = read_snapshot(spark, out)
+    write_snapshot(v.filter("tsa = 'SNV'"), out, ["tsa"], replace="partitions")
+    frames = [("between", between), ("after", read_snapshot(spark, out))]
+    counts = [df.groupBy("tsa").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("seen"), "tsa", "n_rows") for name, df in frames]
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     t.WITH_SQL
     + """

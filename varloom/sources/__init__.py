@@ -11,6 +11,7 @@ from .reference import (
     prune,
     read_partitioned,
 )
+from .snapshots import newest_version, read_snapshot, write_snapshot
 from .storage import finished, path_exists, scratch_dir
 from .vcf import (
     default_path,
@@ -45,6 +46,7 @@ __all__ = [
     "list_paths",
     "match_reference_files",
     "merge_info",
+    "newest_version",
     "open_reference",
     "parse_lines",
     "partition_value",
@@ -53,6 +55,7 @@ __all__ = [
     "range_table",
     "read_info_fields",
     "read_partitioned",
+    "read_snapshot",
     "read_vcf",
     "resolve_info",
     "row_groups",
@@ -63,4 +66,5 @@ __all__ = [
     "vcf_lines",
     "vcf_to_parquet",
     "within_range_table",
+    "write_snapshot",
 ]
