@@ -23,6 +23,29 @@ def test_places_come_back():
     assert list(places.from_varints(places.to_varints(x))) == list(x)
 
 
+def test_entries_come_back_in_the_order_given():
+    doc, pos = np.array([5, 5, 5, -2, 9, 9, 5]), np.array([1, 700_000, 3, 0, 4, 4, 2])
+    d, p = places.unpack_places(places.pack_entries(doc, pos))
+    assert list(d) == list(doc) and list(p) == list(pos)
+    assert not len(places.unpack_places(places.pack_entries(doc[:0], pos[:0]))[0])
+
+
+def test_rows_take_bytes_for_their_entries_whatever_the_number_of_ranges():
+    rng = np.random.default_rng(4)
+    n = 600_000
+    doc, pos = np.repeat(np.arange(2000), n // 2000), np.tile(np.arange(n // 2000), 2000)
+    h = rng.integers(0, 1 << 63, n).astype(np.uint64)
+    size = {}
+    for parts in (32, 2048, 1 << 15):
+        rows = substring._rows(substring.nothing(parts), substring._Dealt(doc, pos, h, parts, substring._five))
+        assert rows.num_rows <= parts
+        size[parts] = rows.nbytes / n
+        found = [places.unpack_places(raw.as_py()) for raw in rows.column("places")]
+        assert sum(len(f[0]) for f in found) == n
+    # Two bytes more where nearly every entry is of another document, and the frame of a row where it has few entries.
+    assert size[2048] < size[32] + 3 and size[1 << 15] < size[32] + 6
+
+
 @pytest.mark.parametrize("window", [4, 7, 20])
 def test_removed_words_match_all_windows(spark, monkeypatch, window):
     monkeypatch.setattr(substring, "RANGE", 4000)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .places import PLACES, by_document, pack_runs, positions, slotted, to_varints, with_positions
+from .places import PLACES, by_document, pack_entries, positions, unpack_places, with_positions
 from .substring import (
     PACKED,
     _as_places,
@@ -39,6 +39,7 @@ from .substring import (
     _places,
     _rows,
     hash_ranges,
+    nothing,
 )
 from .tables import kept
 from .text import flat, hash_spans, mix, rolling, slices
@@ -46,7 +47,8 @@ from .text import flat, hash_spans, mix, rolling, slices
 PIECE = 2 << 20
 #: A byte that UTF-8 has no use for stands beyond the ends of a text.
 _BEYOND = 0xFF
-SHARD = "part int, docs binary, gaps binary, anchors binary, symbols binary"
+_SHARD = ["part", "places", "anchors", "symbols"]
+SHARD = "part int, places binary, anchors binary, symbols binary"
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -96,8 +98,8 @@ def _anchor_pieces(window: int, parts: int):
                 if len(again):
                     yield _local_rows(ids[text], at[again] - offsets[text], parts)
                 lead = np.sort(order[head])
-                none = _Dealt(np.zeros(0, np.int64), np.zeros(0, np.uint64), parts, bytes)
-                yield _rows(parts, pack_runs(ids, np.diff(offsets)), none, _Dealt(at[lead], h[lead], parts, _five))
+                text = np.searchsorted(offsets, at[lead], "right") - 1
+                yield _rows(nothing(parts), _Dealt(ids[text], at[lead] - offsets[text], h[lead], parts, _five))
 
     return run
 
@@ -108,7 +110,7 @@ def _meet_anchors(parts: int):
     def run(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:
             return _passed(table)
-        docs, gaps, hashes = (table.column(c).to_pylist() for c in ("docs", "gaps", "hashes"))
+        packed, hashes = (table.column(c).to_pylist() for c in ("places", "hashes"))
         h = _from_bytes(b"".join(hashes), 5)
         order = np.argsort(h, kind="stable")
         same = np.concatenate([[False], h[order][1:] == h[order][:-1]])[: len(h)]
@@ -117,10 +119,10 @@ def _meet_anchors(parts: int):
         twice = np.zeros(len(h), bool)
         twice[order] = both
         found, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
-        for d, g, x in zip(docs, gaps, hashes):
+        for raw, x in zip(packed, hashes):
             n = len(x) // 5
             if twice[at : at + n].any():
-                doc, pos = _places(d, g)
+                doc, pos = unpack_places(raw)
                 found.append((doc[twice[at : at + n]], pos[twice[at : at + n]]))
             at += n
         return _as_places(found, parts)
@@ -191,10 +193,11 @@ def _shards(window: int, parts: int):
 
                 # Strings by hash range, then by place; their order then changes symbol by symbol.
                 own = np.sort(order[first])
-                part = _part(mix(anchor[own]), parts).astype(np.uint16)
-                own = own[np.argsort(part, kind="stable")]
-                part = _part(mix(anchor[own]), parts).astype(np.uint16)
-                cut = np.searchsorted(part, np.arange(parts + 1))
+                used, part = np.unique(_part(mix(anchor[own]), parts), return_inverse=True)
+                part = part.astype(np.uint16 if len(used) <= 1 << 16 else np.int32)
+                order = np.argsort(part, kind="stable")
+                own, part = own[order], part[order]
+                cut = np.searchsorted(part, np.arange(len(used) + 1))
                 columns, strings = [], near[own]
                 now = np.arange(len(own))
                 for depth in range(2 * side, -1, -1):
@@ -206,25 +209,21 @@ def _shards(window: int, parts: int):
                         columns.append(key)
                     now = now[np.argsort(key, kind="stable")]
                     now = now[np.argsort(part[now], kind="stable")]
-                yield _shard_rows(parts, cut, ids, n, at[own], columns, side)
+                yield _shard_rows(used, cut, ids[text[own]], pos[own], columns, side)
 
     return run
 
 
-def _shard_rows(parts, cut, ids, n, at, columns, side) -> pa.RecordBatch:
+def _shard_rows(used, cut, doc, pos, columns, side) -> pa.RecordBatch:
     import zlib
 
-    docs = pack_runs(ids, n)
     symbols = np.stack([c for i, c in enumerate(columns) if i != side])
-    used = [p for p in range(parts) if cut[p] < cut[p + 1]]
     rows = []
-    for p in used:
-        a, b = cut[p], cut[p + 1]
+    for a, b in zip(cut[:-1], cut[1:]):
         packed = zlib.compress(np.ascontiguousarray(symbols[:, a:b]).tobytes(), 1)
-        rows.append((to_varints(np.diff(at[a:b], prepend=0)), columns[side][a:b].tobytes(), packed))
-    arrays = [pa.array(used, pa.int32()), pa.array([docs] * len(used), pa.binary())]
-    arrays += [pa.array([r[k] for r in rows], pa.binary()) for k in range(3)]
-    return pa.RecordBatch.from_arrays(arrays, ["part", "docs", "gaps", "anchors", "symbols"])
+        rows.append((pack_entries(doc[a:b], pos[a:b]), columns[side][a:b].tobytes(), packed))
+    arrays = [pa.array(used, pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(3))]
+    return pa.RecordBatch.from_arrays(arrays, _SHARD)
 
 
 def _dealt_local(batches):
@@ -234,9 +233,7 @@ def _dealt_local(batches):
             yield batch
         else:
             none = pa.array([None] * batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("part"), batch.column("docs"), none, none, none], ["part", "docs", "gaps", "anchors", "symbols"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("places"), none, none], _SHARD)
 
 
 class _Least:
@@ -292,12 +289,11 @@ def _repeats(window: int, parts: int):
 
         if table.column("part")[0].as_py() < 0:
             return _passed(table)
-        docs, gaps, keys, symbols = (table.column(c).to_pylist() for c in ("docs", "gaps", "anchors", "symbols"))
-        both = [_places(d, g) for d, g in zip(docs, gaps)]
-        doc, pos = np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both])
+        packed, keys, symbols = (table.column(c).to_pylist() for c in ("places", "anchors", "symbols"))
+        doc, pos = _places(packed)
         shards = []
-        for key, packed in zip(keys, symbols):
-            own = list(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(2 * side, -1))
+        for key, raw in zip(keys, symbols):
+            own = list(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(2 * side, -1))
             shards.append([*own[:side], np.frombuffer(key, np.uint64), *own[side:]])
         order = np.lexsort((pos, doc))
         moved = np.concatenate([[False], (doc[order][1:] != doc[order][:-1]) | (pos[order][1:] != pos[order][:-1])])

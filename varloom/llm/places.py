@@ -65,8 +65,14 @@ def pack_places(doc: np.ndarray, pos: np.ndarray) -> bytes:
     if not in_order(doc, pos):
         order = np.lexsort((pos, doc))
         doc, pos = doc[order], pos[order]
-    head = np.concatenate([[True], doc[1:] != doc[:-1]])
-    at = np.flatnonzero(head)
+    return pack_entries(doc, pos)
+
+
+def pack_entries(doc: np.ndarray, pos: np.ndarray) -> bytes:
+    """Places in the order given, which is best ascending; only documents that have one take room."""
+    if not len(doc):
+        return b""
+    at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] < pos[:-1])]))
     runs = pack_runs(doc[at], np.diff(np.append(at, len(doc))))
     step = np.diff(pos, prepend=0)
     step[at] = pos[at]
@@ -74,6 +80,8 @@ def pack_places(doc: np.ndarray, pos: np.ndarray) -> bytes:
 
 
 def unpack_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not raw:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     n = struct.unpack("<q", raw[:8])[0]
     ids, counts = unpack_runs(raw[8 : 8 + n])
     step = from_varints(raw[8 + n :])

@@ -25,12 +25,10 @@ from .places import (
     PLACES,
     by_document,
     covered,
-    from_varints,
-    pack_runs,
+    pack_entries,
     positions,
     slotted,
-    to_varints,
-    unpack_runs,
+    unpack_places,
     with_positions,
 )
 from .tables import kept
@@ -38,18 +36,17 @@ from .text import Words, flat, hand_back, rolling, slices
 
 #: Bytes of text that are hashed, and that are cut, in one step.
 PIECE, CUT = 4 << 20, 2 << 20
-#: Bytes of text for each hash range, and the most ranges.
+#: Bytes of text for each hash range.
 RANGE = 16 << 20
-MOST_RANGES = 1 << 16
 
-PACKED = "part int, docs binary, index_gaps binary, index_hashes binary, gaps binary, hashes binary"
-_NONE = np.zeros(0, np.uint64)
+_PACKED = ["part", "index_places", "index_hashes", "places", "hashes"]
+PACKED = "part int, index_places binary, index_hashes binary, places binary, hashes binary"
 
 
 def hash_ranges(texts: DataFrame) -> int:
     """How many hash ranges the windows of these texts are dealt over."""
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(1, min(MOST_RANGES, math.ceil(total / RANGE)))
+    return max(1, math.ceil(total / RANGE))
 
 
 def _five(h: np.ndarray) -> bytes:
@@ -69,23 +66,27 @@ def _part(h: np.ndarray, parts: int) -> np.ndarray:
 class _Dealt:
     """Entries of one piece of text, ordered by hash range and, within one, by place."""
 
-    def __init__(self, place: np.ndarray, h: np.ndarray, parts: int, pack):
+    def __init__(self, doc: np.ndarray, pos: np.ndarray, h: np.ndarray, parts: int, pack):
         part = _part(h, parts)
         order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
-        self.place, self.h, self.pack = place[order], h[order], pack
-        self.cut = np.searchsorted(part[order], np.arange(parts + 1))
+        self.doc, self.pos, self.h, self.part, self.pack = doc[order], pos[order], h[order], part[order], pack
 
-    def of(self, p: int) -> tuple[bytes, bytes]:
-        a, b = self.cut[p], self.cut[p + 1]
-        return to_varints(np.diff(self.place[a:b], prepend=0)), self.pack(self.h[a:b])
+    def packed(self, used: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+        """Places and hashes of each of the ranges."""
+        spans = list(zip(np.searchsorted(self.part, used), np.searchsorted(self.part, used, "right")))
+        return [pack_entries(self.doc[a:b], self.pos[a:b]) for a, b in spans], [self.pack(self.h[a:b]) for a, b in spans]
 
 
-def _rows(parts, docs, index: _Dealt, probe: _Dealt):
-    used = [p for p in range(parts) if index.cut[p] < index.cut[p + 1] or probe.cut[p] < probe.cut[p + 1]]
-    columns = [[*index.of(p), *probe.of(p)] for p in used]
-    arrays = [pa.array(used, pa.int32()), pa.array([docs] * len(used), pa.binary())]
-    arrays += [pa.array([c[k] for c in columns], pa.binary()) for k in range(4)]
-    return pa.RecordBatch.from_arrays(arrays, ["part", "docs", "index_gaps", "index_hashes", "gaps", "hashes"])
+def nothing(parts: int) -> _Dealt:
+    none = np.zeros(0, np.int64)
+    return _Dealt(none, none, np.zeros(0, np.uint64), parts, bytes)
+
+
+def _rows(index: _Dealt, probe: _Dealt) -> pa.RecordBatch:
+    """A row for each range that has an entry: its size goes with its entries, whatever the number of ranges."""
+    used = np.union1d(index.part, probe.part)
+    columns = [pa.array(c, pa.binary()) for c in (*index.packed(used), *probe.packed(used))]
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *columns], _PACKED)
 
 
 def _local_rows(doc: np.ndarray, pos: np.ndarray, parts: int) -> pa.RecordBatch:
@@ -94,10 +95,7 @@ def _local_rows(doc: np.ndarray, pos: np.ndarray, parts: int) -> pa.RecordBatch:
     n = found.num_rows
     none = pa.array([None] * n, pa.binary())
     part = pa.array(-1 - np.array(found.column("slot")), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [part, found.column("places"), none, none, none, none],
-        ["part", "docs", "index_gaps", "index_hashes", "gaps", "hashes"],
-    )
+    return pa.RecordBatch.from_arrays([part, none, none, found.column("places"), none], _PACKED)
 
 
 def _piece(batch: pa.RecordBatch, shortest: int):
@@ -142,21 +140,17 @@ def _anchor_pieces(window: int, parts: int):
                 lead = np.zeros(len(fits), bool)
                 lead[earliest] = True
                 lead, rest = np.flatnonzero(lead), np.flatnonzero(~hit & ~indexed)
-                docs = pack_runs(ids, words.count)
                 yield _rows(
-                    parts, docs, _Dealt(fits[lead], value[lead], parts, _five), _Dealt(fits[rest], value[rest], parts, _five)
+                    *(_Dealt(ids[text[fits[i]]], pos[fits[i]], value[i], parts, _five) for i in (lead, rest))
                 )
 
     return run
 
 
-def _places(docs: bytes, gaps: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Document ids and positions of a row's entries."""
-    ids, counts = unpack_runs(docs)
-    at = np.cumsum(from_varints(gaps))
-    ends = np.cumsum(counts)
-    text = np.searchsorted(ends, at, "right")
-    return ids[text], at - (ends - counts)[text]
+def _places(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Document ids and positions of the entries of all rows, one row after the other."""
+    both = [unpack_places(raw) for raw in packed]
+    return np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both])
 
 
 def _meet_anchors(parts: int):
@@ -165,10 +159,8 @@ def _meet_anchors(parts: int):
     def run(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:
             return _passed(table)
-        docs, gaps, hashes = (table.column(c).to_pylist() for c in ("docs", "index_gaps", "index_hashes"))
-        both = [_places(d, g) for d, g in zip(docs, gaps)]
-        doc, pos = np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both])
-        h = _from_bytes(b"".join(hashes), 5)
+        doc, pos = _places(table.column("index_places").to_pylist())
+        h = _from_bytes(b"".join(table.column("index_hashes").to_pylist()), 5)
         order = np.lexsort((pos, doc, h))
         doc, pos, h = doc[order], pos[order], h[order]
         first = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
@@ -177,7 +169,7 @@ def _meet_anchors(parts: int):
         used[(np.cumsum(first) - 1)[later]] = True
         out = [(doc[later], pos[later])]
         known, known_doc, known_pos = h[first], doc[first], pos[first]
-        for d, g, x in zip(docs, table.column("gaps").to_pylist(), table.column("hashes").to_pylist()):
+        for raw, x in zip(table.column("places").to_pylist(), table.column("hashes").to_pylist()):
             value = _from_bytes(x, 5)
             if not len(value) or not len(known):
                 continue
@@ -185,7 +177,7 @@ def _meet_anchors(parts: int):
             same = np.flatnonzero(known[near] == value)
             if not len(same):
                 continue
-            pdoc, ppos = _places(d, g)
+            pdoc, ppos = unpack_places(raw)
             near, pdoc, ppos = near[same], pdoc[same], ppos[same]
             hit = (known_doc[near] < pdoc) | ((known_doc[near] == pdoc) & (known_pos[near] < ppos))
             used[near[hit]] = True
@@ -209,7 +201,7 @@ def _as_places(found, parts: int) -> pa.Table:
 
 def _passed(table: pa.Table) -> pa.Table:
     slot = [-1 - p for p in table.column("part").to_pylist()]
-    return pa.table({"slot": pa.array(slot, pa.int32()), "places": table.column("docs")})
+    return pa.table({"slot": pa.array(slot, pa.int32()), "places": table.column("places")})
 
 
 def _window_pieces(window: int, parts: int):
@@ -242,10 +234,8 @@ def _window_pieces(window: int, parts: int):
                 if len(repeat):
                     yield _local_rows(ids[text[fits[repeat]]], pos[fits[repeat]], parts)
                 lead = np.sort(order[first])
-                none = _Dealt(np.zeros(0, np.int64), _NONE, parts, bytes)
-                yield _rows(
-                    parts, pack_runs(ids, words.count), none, _Dealt(fits[lead], value[lead], parts, np.ndarray.tobytes)
-                )
+                at = fits[lead]
+                yield _rows(nothing(parts), _Dealt(ids[text[at]], pos[at], value[lead], parts, np.ndarray.tobytes))
 
     return run
 
@@ -256,8 +246,7 @@ def _meet_windows(parts: int):
     def run(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:
             return _passed(table)
-        both = [_places(d, g) for d, g in zip(table.column("docs").to_pylist(), table.column("gaps").to_pylist())]
-        doc, pos = np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both])
+        doc, pos = _places(table.column("places").to_pylist())
         h = np.frombuffer(b"".join(table.column("hashes").to_pylist()), np.uint64)
         order = np.lexsort((pos, doc, h))
         doc, pos, h = doc[order], pos[order], h[order]
