@@ -47,11 +47,15 @@ def test_words_give_the_ids_of_whole_texts(monkeypatch, remembered):
 
 def test_files_hold_all_ids_in_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(tokens, "FILE_BYTES", 3000)
+    monkeypatch.setattr(tokens, "GROUP", 7)
     docs = [((i * 37) % 211 - 50, f"word{i % 7} Rare{i}, " * (i % 60)) for i in range(211)]
     docs += [(None, "no id"), (400, None), (401, ""), (401, ""), (402, "long " * 60_000)]
     df = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, part int, path string").repartition(6)
     index = tokens.write_tokens(df, str(tmp_path), PATH, end_id=1)
     assert result(tokens.read_tokens(index)) == expected(docs)
+    assert index.select("part").distinct().count() > 14
+    plan = tokens._bases(index)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     file = pa.ipc.open_file(pa.memory_map(index.orderBy("part").first().path))
     assert pa.types.is_fixed_size_list(file.schema.field("ids").type) and file.schema.field("ids").type.list_size == tokens.SEQUENCE
     assert not tokens.read_tokens(tokens.write_tokens(df.limit(0), str(tmp_path / "none"), PATH, end_id=1)).count()

@@ -13,17 +13,20 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import scratch_dir
-from .tables import kept
+from .tables import BROADCAST_IDS, kept
 from .text import LOWER, Remembered, Words, flat, hash_spans, slices
 
 #: Ids of a sequence, and sequences of a batch.
 SEQUENCE, BATCH = 2048, 512
 #: Bytes of text of a file.
 FILE_BYTES = 64 << 20
+#: Files whose ids are added up by one task.
+GROUP = 4096
+_LEAST = -(2**63)
 #: Bytes of remembered words and their ids in a task, before it forgets all.
 REMEMBERED = 64 << 20
 
@@ -153,16 +156,29 @@ class _Writer:
         self.stream.close()
 
 
-def _press(batches):
-    """Tasks: texts compressed one by one for the way between tasks; null is empty."""
-    import zstandard
+def _press(bounds: np.ndarray):
+    """Tasks: the file of each document, and its text compressed for the way between tasks; null is empty."""
 
-    for batch in batches:
-        press = zstandard.ZstdCompressor(level=1)
-        texts = [press.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("part"), pa.array(texts, pa.binary())], ["doc_id", "part", "text"]
-        )
+    def run(batches):
+        import zstandard
+
+        for batch in batches:
+            press = zstandard.ZstdCompressor(level=1)
+            texts = [press.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
+            ids = batch.column("doc_id")
+            part = np.searchsorted(bounds, np.array(ids.fill_null(_LEAST), np.int64), "right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(part), pa.array(texts, pa.binary())], ["doc_id", "part", "text"])
+
+    return run
+
+
+def _bounds(ids: DataFrame, files: int) -> np.ndarray:
+    """The least doc_id of every file but the first: ranges of about as many rows, eight bytes for each file."""
+    if files == 1:
+        return np.zeros(0, np.int64)
+    dealt = ids.where("doc_id IS NOT NULL").repartitionByRange(files, "doc_id")
+    least = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min("doc_id").alias("least"))
+    return np.sort(np.array([r.least for r in least.collect()], np.int64))[1:]
 
 
 def _opened(batch, press):
@@ -229,12 +245,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, lowe
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // FILE_BYTES))
-    part = F.lit(0)
-    if n > 1:
-        share = [i / n for i in range(1, n)]
-        bounds = sorted(set(texts.agg(F.percentile_approx("doc_id", share, 100 * n)).first()[0]))
-        part = F.size(F.filter(F.lit(bounds), lambda b: b <= F.coalesce("doc_id", F.lit(-(2**63)))))
-    parted = texts.withColumn("part", part.cast("int")).mapInArrow(_press, "doc_id long, part int, text binary")
+    bounds = _bounds(texts.select("doc_id"), n)
+    parted = texts.mapInArrow(_press(bounds), "doc_id long, part int, text binary")
     ordered = parted.repartition(n, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "text")
     return kept(ordered.mapInArrow(_write(folder, tokenizer, lower, end_id), INDEX), "token_index")
 
@@ -271,18 +283,27 @@ def _read(batches):
         )
 
 
+def _bases(index: DataFrame) -> DataFrame:
+    """``part, base``: the ids of all files before each, as a running sum within groups of files and one over the groups."""
+    sizes = index.groupBy("part").agg(F.sum("n_tokens").alias("ids"))
+    sizes = kept(sizes.withColumn("files", F.expr(f"part div {GROUP}")), "file_sizes")
+    ahead = Window.rowsBetween(Window.unboundedPreceding, -1)
+    inside = sizes.withColumn("inside", F.sum("ids").over(ahead.partitionBy("files").orderBy("part")))
+    groups = sizes.groupBy("files").agg(F.sum("ids").alias("ids"))
+    groups = groups.select("files", F.sum("ids").over(ahead.orderBy("files")).alias("outside"))
+    base = F.coalesce("inside", F.lit(0)) + F.coalesce("outside", F.lit(0))
+    return inside.join(groups, "files").select("part", base.alias("base"))
+
+
 def read_tokens(index: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document of an index, from its files.
 
     ``start`` counts the ids of all documents before it, over all files.
     """
-    # One row per file.
-    sizes = kept(index.groupBy("part").agg(F.sum("n_tokens").alias("ids")), "file_sizes")
-    later = sizes.select(F.col("part").alias("after"), F.col("ids").alias("before"))
-    base = sizes.join(F.broadcast(later), F.col("after") < F.col("part"), "left")
-    base = kept(base.groupBy("part").agg(F.coalesce(F.sum("before"), F.lit(0)).alias("base")), "file_bases")
-    placed = index.join(F.broadcast(base), "part").withColumn("start", F.col("base") + F.col("first"))
-    files = max(1, sizes.count())
+    base = kept(_bases(index), "file_bases")
+    files = max(1, base.count())
+    placed = index.join(F.broadcast(base) if files <= BROADCAST_IDS else base, "part")
+    placed = placed.withColumn("start", F.col("base") + F.col("first"))
     ordered = placed.repartition(min(files, 10_000), "part").sortWithinPartitions("part", "first")
     ordered = ordered.select("doc_id", "path", "first", "start", "n_tokens")
     return ordered.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
