@@ -21,11 +21,13 @@ from ..sources import (
     parse_lines,
     range_table,
     read_snapshot,
+    read_vcf_regions,
     scratch_dir,
     select_info,
     type_info,
     vcf_to_parquet,
     within_range_table,
+    write_indexed_vcf,
     write_snapshot,
 )
 from ..sources.ranges import BIN
@@ -724,6 +726,26 @@ def vcf_to_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+VCF_HEADER = ["##fileformat=VCFv4.2", *map(t.info_line, t.VCF_INFO), "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO"]
+
+
+@query(
+    t.WITH_SQL
+    + f"""
+, x AS ({t.PARSED_SQL}), g AS (SELECT DISTINCT 1 + p_partkey % 20 AS k FROM part)
+SELECT * FROM x WHERE EXISTS (SELECT 1 FROM g WHERE x.chrom = CAST(k AS varchar) AND x.start BETWEEN 400 * k AND 400 * k + 300)
+OR chrom = 'X'"""
+)
+def vcf_indexed_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A panel of regions and one whole chromosome out of indexed files, of which only the blocks in question are read."""
+    out = f"{scratch_dir(spark, 'vcf_indexed_regions')}/cohort"
+    write_indexed_vcf(t.vcf_text(t.variants(spark, sf_dir)), out, VCF_HEADER)
+    k = F.col("p_partkey") % 20 + 1
+    panel = t.load(spark, sf_dir, "part").select(k.cast("string").alias("chrom"), (k * 400).alias("first"), (k * 400 + 300).alias("last"))
+    whole = spark.createDataFrame([("X", None, None)], "chrom string, first bigint, last bigint")
+    return read_vcf_regions(spark, out, panel.unionByName(whole))
+
+
 @query(
     """
 SELECT 'F' || p_partkey AS id, CASE WHEN p_size <= 10 THEN 'A' ELSE '1' END AS number,

@@ -1,6 +1,7 @@
 """Sources: VCF text, file catalogs, reference datasets and presets of public databases."""
 
 from .catalog import collect_parquet_files, file_catalog, list_paths, partition_value
+from .indexed import index_windows, read_vcf_regions, region_pieces, within_regions, write_indexed_vcf
 from .presets import Preset, clinvar, dbsnp, ensembl, gnomad
 from .ranges import in_touched_files, range_table, row_groups, touched, within_range_table
 from .reference import (
@@ -42,6 +43,7 @@ __all__ = [
     "gnomad",
     "header_info",
     "header_lines",
+    "index_windows",
     "in_touched_files",
     "list_paths",
     "match_reference_files",
@@ -57,6 +59,8 @@ __all__ = [
     "read_partitioned",
     "read_snapshot",
     "read_vcf",
+    "read_vcf_regions",
+    "region_pieces",
     "resolve_info",
     "row_groups",
     "scratch_dir",
@@ -66,5 +70,7 @@ __all__ = [
     "vcf_lines",
     "vcf_to_parquet",
     "within_range_table",
+    "within_regions",
+    "write_indexed_vcf",
     "write_snapshot",
 ]

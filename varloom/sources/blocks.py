@@ -65,22 +65,29 @@ def _reader():
                 yield at, zlib.decompress(body, -15)
                 at += length
 
-        def line_chunks(path, start, stop, size):
+        def line_chunks(path, start, stop, size, first, last):
             """Bytes of the whole lines that belong to the range, in chunks of whole lines.
 
             A range owns the lines that begin after the first line end in it, and the line that runs
-            over its end.  The range at byte zero owns the first line too.
+            over its end.  The range at byte zero owns the first line too.  ``first`` says that a line begins
+            at that byte of the block at ``start``, and ``last`` is the place where the last line ends: the
+            block's position times 65,536 plus a byte in it.
             """
             with opened(path) as f:
-                at = first_block(f, start, stop, size)
+                at = first_block(f, start, stop, size) if first is None else start
                 if at is None:
                     if start == 0:
                         raise ValueError(f"{path} is not block-gzip compressed")
                     return
-                skipping = start > 0
+                skipping = start > 0 and first is None
                 pending, pending_size = [], 0
                 for position, data in blocks(f, at):
-                    if position >= stop:
+                    final = last is not None and position >= last >> 16
+                    if final:
+                        data = data[: last & 0xFFFF] if position == last >> 16 else b""
+                    if first is not None and position == start:
+                        data = data[first:]
+                    if last is None and position >= stop:
                         if skipping:
                             return
                         end = data.find(b"\n")
@@ -92,9 +99,13 @@ def _reader():
                     if skipping:
                         end = data.find(b"\n")
                         if end < 0:
+                            if final:
+                                return
                             continue
                         data, skipping = data[end + 1 :], False
                     pending.append(data)
+                    if final:
+                        break
                     pending_size += len(data)
                     if pending_size >= flush_bytes:
                         text = b"".join(pending)
@@ -110,9 +121,10 @@ def _reader():
                     yield text
 
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("path", "start", "stop", "size")))
-            for path, start, stop, size in rows:
-                for chunk in line_chunks(path, start, stop, size):
+            names = ("path", "start", "stop", "size", "first", "last")
+            for piece in zip(*(batch.column(c).to_pylist() for c in names)):
+                path = piece[0]
+                for chunk in line_chunks(*piece):
                     # Lines end as in the text source: at LF, CR LF or CR.
                     if b"\r" in chunk:
                         chunk = chunk.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
@@ -155,6 +167,7 @@ def block_splits(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
         files.filter("size > 0")
         .select("path", "size", starts.alias("start"))
         .select("path", "start", F.least(F.col("start") + split_bytes, F.col("size")).alias("stop"), "size")
+        .withColumns({"first": F.lit(None).cast("int"), "last": F.lit(None).cast("bigint")})
     )
 
 
@@ -167,6 +180,11 @@ def read_block_lines(spark: SparkSession, paths: str | Sequence[str], split_byte
     total = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("files")).first()
     split_bytes = max(split_bytes, total["bytes"] // MOST_PIECES)
     n = max(1, min(MOST_PIECES, total["bytes"] // split_bytes + total["files"]))
+    return read_pieces(block_splits(files, split_bytes), n)
+
+
+def read_pieces(pieces: DataFrame, tasks: int) -> DataFrame:
+    """``value, path``: the lines of ``path, start, stop, size, first, last``, as ``block_splits`` makes them."""
     # By range, so that the pieces spread evenly over the tasks.
-    spread = block_splits(files, split_bytes).repartitionByRange(n, "path", "start")
+    spread = pieces.repartitionByRange(tasks, "path", "start")
     return spread.mapInArrow(_reader(), "value string, path string")

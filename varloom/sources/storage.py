@@ -79,21 +79,25 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def task_opener():
-    """A function that opens a listed path for reading in a Python task.
+    """A function that opens a listed path in a Python task, for reading or, anew, for writing.
 
     It is made anew by every call, so that it travels to the executors by value and they need no copy
     of this package.
     """
 
-    def opened(path):
+    def opened(path, write=False):
         from urllib.parse import quote
 
         from pyarrow import fs as pafs
 
         if path.startswith("file:"):
-            return pafs.LocalFileSystem().open_input_file("/" + path[len("file:") :].lstrip("/"))
-        uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@?=&")
-        filesystem, inner = pafs.FileSystem.from_uri(uri)
+            filesystem, inner = pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+        else:
+            uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@?=&")
+            filesystem, inner = pafs.FileSystem.from_uri(uri)
+        if write:
+            filesystem.create_dir(inner.rsplit("/", 1)[0])
+            return filesystem.open_output_stream(inner, compression=None)
         return filesystem.open_input_file(inner)
 
     return opened
