@@ -231,3 +231,29 @@ def test_dealt_input_is_repeatable(spark, tmp_path):
     written = repeatable(shuffled)
     assert written is not shuffled and rows(written) == rows(shuffled)
     assert "Relation" in written._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("narrow", [False, True])
+def test_heavy_keys_beyond_the_broadcast_do_not_reach_the_driver(spark, monkeypatch, how, narrow):
+    """Hundreds of heavy keys on both sides, one much heavier, and null keys."""
+    from varloom.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", 20)
+    left_rows = [(i % 300, i) for i in range(3000)] + [(7, -i) for i in range(1, 400)] + [(None, i) for i in range(50)] + [(900, 1)]
+    right_rows = [(i % 310, i) for i in range(1500)] + [(None, 5)]
+    left = spark.createDataFrame(left_rows, f"k {'int' if narrow else 'bigint'}, v bigint")
+    right = spark.createDataFrame(right_rows, "k bigint, w bigint")
+    collect, sizes = type(left).collect, []
+
+    def counted(df):
+        found = collect(df)
+        sizes.append(len(found) + sum(len(x) for r in found for x in r if isinstance(x, list)))
+        return found
+
+    monkeypatch.setattr(type(left), "collect", counted)
+    df = op.annotate(left, right, on=["k"], how=how, strategy="direct", rows_per_slice=3)
+    assert max(sizes, default=0) <= 20
+    monkeypatch.undo()
+    expected = [r for r in brute_force(left_rows, right_rows) if how == "left" or r[2] is not None]
+    assert rows(df, "k", "v", "w") == expected

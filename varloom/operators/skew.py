@@ -22,19 +22,34 @@ from ..sources.storage import scratch_dir
 ROWS_PER_SLICE = 1_000_000
 #: Cells of each line of the sketch for every heavy key that there can be; one light key in their square is counted too.
 CELLS = 64
+#: Keys or cells of a sketch that are broadcast.  More of them are stored and joined by a shuffle.
+BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
 class KeyProfile:
     """How the rows of a table spread over its keys.
 
-    ``null_rows`` counts rows with a null in any key; they match nothing.  ``heavy`` holds 64-bit
-    hashes of the keys above the limit, at most ``rows / limit`` of them.
+    ``null_rows`` counts rows with a null in any key; they match nothing.  ``table`` is the stored table ``hash, n`` of
+    the 64-bit hashes of the ``n_heavy`` keys above the limit, at most ``rows / limit`` of them; None without any.
     """
 
     rows: int
     null_rows: int
-    heavy: tuple[int, ...]
+    table: DataFrame | None = None
+    n_heavy: int = 0
+
+    @property
+    def heavy(self) -> tuple[int, ...]:
+        """The hashes of the heavy keys, all brought to the driver; joins use ``table``."""
+        return () if self.table is None else tuple(r["hash"] for r in self.table.select("hash").collect())
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def all_present(on: Sequence[str]) -> Column:
@@ -66,34 +81,42 @@ def profile_keys(
 
     A sketch with ``CELLS`` times as many cells as there can be heavy keys is taken first.  It never counts a key too
     low, so that a key is heavy only if its cells in all lines are.  Without such cells nothing more is read; else the
-    keys in them are counted exactly.  ``most_rows`` bounds the number of rows, which is counted when it is not given.
+    keys in them are counted exactly, or all keys if the cells are too many to broadcast.  ``most_rows`` bounds the
+    number of rows, which is counted when it is not given.  Sketch and heavy keys stay in stored tables.
     """
     most_rows = df.count() if most_rows is None else most_rows
     cells = max(1024, CELLS * most_rows // max(1, rows_per_slice))
-    sketch = sketch_keys(df, on, cells)
+    sketch = _stored(sketch_keys(df, on, cells), "key_sketch")
     null, first = F.col("cell").isNull(), F.col("line") == 0
+    is_full = ~null & (F.col("n") > rows_per_slice)
     row = sketch.agg(
         F.coalesce(F.sum(F.when(first, F.col("n"))), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(first & null, F.col("n"))), F.lit(0)).alias("null_rows"),
-        F.collect_list(F.when(~null & (F.col("n") > rows_per_slice), F.struct("line", "cell"))).alias("full"),
+        *[F.count_if(is_full & (F.col("line") == line)).alias(f"full_{line}") for line in (0, 1)],
     ).first()
-    full = [[c["cell"] for c in row["full"] if c["line"] == line] for line in (0, 1)]
-    if not all(full):
-        return KeyProfile(row["rows"], row["null_rows"], ())
+    if not (row["full_0"] and row["full_1"]):
+        return KeyProfile(row["rows"], row["null_rows"])
     hashed = df.filter(all_present(on)).select(F.xxhash64(*on).alias("hash"))
-    for cell, found in zip(_sketched(F.col("hash"), cells), full):
-        # At most rows / rows_per_slice cells of a line are full.
-        few = df.sparkSession.createDataFrame([(c,) for c in found], "_cell long")
-        hashed = hashed.join(F.broadcast(few), cell == F.col("_cell"), "left_semi")
+    for line, cell in enumerate(_sketched(F.col("hash"), cells)):
+        if row[f"full_{line}"] <= BROADCAST_KEYS:
+            few = sketch.filter(is_full & (F.col("line") == line)).select(F.col("cell").alias("_cell"))
+            hashed = hashed.join(F.broadcast(few), cell == F.col("_cell"), "left_semi")
     heavy = hashed.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > rows_per_slice)
-    return KeyProfile(row["rows"], row["null_rows"], tuple(r["hash"] for r in heavy.select("hash").collect()))
+    heavy = _stored(heavy, "heavy_hashes")
+    n_heavy = heavy.count()
+    return KeyProfile(row["rows"], row["null_rows"], heavy if n_heavy else None, n_heavy)
 
 
-def _key_counts(df: DataFrame, on: Sequence[str], heavy: Sequence[int], name: str) -> DataFrame:
+def _key_counts(df: DataFrame, on: Sequence[str], profile: KeyProfile, name: str) -> DataFrame:
     """Exact row counts of the keys behind the heavy hashes, pre-aggregated before the shuffle."""
-    hashes = df.sparkSession.createDataFrame([(h,) for h in heavy], "_key_hash long")
+    hashes = profile.table.select(F.col("hash").alias("_key_hash"))
     hashed = df.filter(all_present(on)).select(*on, F.xxhash64(*on).alias("_key_hash"))
-    return hashed.join(F.broadcast(hashes), "_key_hash", "left_semi").groupBy(*on).agg(F.count("*").alias(name))
+    if profile.n_heavy <= BROADCAST_KEYS:
+        hashed = hashed.join(F.broadcast(hashes), "_key_hash", "left_semi")
+        return hashed.groupBy(*on).agg(F.count("*").alias(name))
+    # Counted before the join, in which each key is then one row.
+    counted = hashed.groupBy(*on, "_key_hash").agg(F.count("*").alias(name))
+    return counted.join(hashes, "_key_hash", "left_semi").drop("_key_hash")
 
 
 def heavy_keys(
@@ -116,11 +139,11 @@ def heavy_keys(
         return F.ceil(F.col(n) / rows_per_slice).cast("int")
 
     parts = []
-    if left_profile is not None and left_profile.heavy:
-        n = _key_counts(left, on, left_profile.heavy, "_n")
+    if left_profile is not None and left_profile.n_heavy:
+        n = _key_counts(left, on, left_profile, "_n")
         parts.append(n.select(*on, slices("_n").alias("left_slices"), F.lit(1).alias("right_slices")))
-    if right_profile is not None and right_profile.heavy:
-        n = _key_counts(right, on, right_profile.heavy, "_n")
+    if right_profile is not None and right_profile.n_heavy:
+        n = _key_counts(right, on, right_profile, "_n")
         parts.append(n.select(*on, F.lit(1).alias("left_slices"), slices("_n").alias("right_slices")))
     if not parts:
         return None
@@ -129,8 +152,8 @@ def heavy_keys(
         .groupBy(*on)
         .agg(F.max("left_slices").alias("left_slices"), F.max("right_slices").alias("right_slices"))
     )
-    # Both sides of the join need the table, so it is computed once: rows / rows_per_slice bounds each side.
-    return left.sparkSession.createDataFrame(found.collect(), found.schema)
+    # Both sides of the join need the table, so it is computed once.
+    return _stored(found, "heavy_keys")
 
 
 #: Plan nodes above a scan that leave the order of rows as it is.
@@ -152,9 +175,31 @@ def repeatable(df: DataFrame) -> DataFrame:
     names = [line.lstrip(" :+-").split(" ")[0].split("(")[0] for line in plan.splitlines() if line.strip()]
     if all(n.startswith(_IN_ORDER) for n in names):
         return df
-    path = scratch_dir(spark, "repeatable")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _stored(df, "repeatable")
+
+
+def _with_slices(df: DataFrame, heavy: DataFrame, on: list[str], place: str, wide: int | None) -> DataFrame:
+    """``df`` with the other columns of ``heavy``, null for keys that it lacks.
+
+    Without ``wide`` the table is broadcast.  Otherwise only keys of more slices than that are, and the rest is joined by
+    a shuffle, through which rows that have theirs, or a null key, are dealt by ``place``.
+    """
+    if wide is None:
+        return df.join(F.broadcast(heavy), on, "left")
+    left_n, right_n = values = [c for c in heavy.columns if c not in on]
+    total = F.col(left_n) + F.col(right_n)
+    df = df.join(F.broadcast(heavy.filter(total > wide)), on, "left")
+    new = {c: f"{c}_rest" for c in heavy.columns}
+    rest = heavy.filter(total <= wide).withColumnsRenamed(new)
+    same = [F.col(c) == F.col(new[c]) for c in on]
+    if all(df.schema[c].dataType == heavy.schema[c].dataType for c in on):
+        # Otherwise equal keys could have different hashes, and are joined as they are.
+        own = F.when(all_present(on) & F.col(left_n).isNull(), F.xxhash64(*on)).otherwise(F.xxhash64(place))
+        df = df.withColumn(f"{place}_hash", own)
+        rest = rest.withColumn(f"{place}_rest", F.xxhash64(*[new[c] for c in on]))
+        same.insert(0, F.col(f"{place}_hash") == F.col(f"{place}_rest"))
+    joined = df.join(rest, reduce(and_, same), "left")
+    return joined.withColumns({c: F.coalesce(c, new[c]) for c in values}).drop(*new.values(), f"{place}_hash", f"{place}_rest")
 
 
 def salted_join(
@@ -183,36 +228,44 @@ def salted_join(
     if heavy is None and null_slices <= 1:
         return left.join(right, on, how)
 
-    most = heavy.agg(F.max("left_slices").alias("left"), F.max("right_slices").alias("right")).first() if heavy else None
+    most = None
+    if heavy is not None:
+        total = F.sum((F.col("left_slices") + F.col("right_slices")).cast("bigint"))
+        most = heavy.agg(
+            F.max("left_slices").alias("left"), F.max("right_slices").alias("right"), F.count("*").alias("keys"), total.alias("total")
+        ).first()
     if null_slices > 1 or (most and most["left"] > 1):
         left = repeatable(left)
     if most and most["right"] > 1:
         right = repeatable(right)
 
     tag = uuid.uuid4().hex[:8]
-    ls, rs, hit, n_left, n_right = (f"_{n}_{tag}" for n in ("ls", "rs", "hit", "nl", "nr"))
+    ls, rs, hit, n_left, n_right, place = (f"_{n}_{tag}" for n in ("ls", "rs", "hit", "nl", "nr", "at"))
+    # Taken from the input as it is read: what is joined by a shuffle comes in another order when a task is run again.
+    left = left.withColumn(place, F.monotonically_increasing_id())
+    right = right.withColumn(place, F.monotonically_increasing_id())
     if heavy is None:
         left = left.withColumns({n_left: F.lit(1), n_right: F.lit(1)})
         right = right.withColumns({n_left: F.lit(1), n_right: F.lit(1)})
     else:
-        # Each side adds at most its rows / rows_per_slice keys.
-        few = F.broadcast(heavy.withColumnsRenamed({"left_slices": n_left, "right_slices": n_right}))
+        # Fewer than BROADCAST_KEYS keys have more than their share of all slices.
+        wide = None if most["keys"] <= BROADCAST_KEYS else most["total"] // BROADCAST_KEYS
+        named = heavy.withColumnsRenamed({"left_slices": n_left, "right_slices": n_right})
         ones = {n_left: F.coalesce(n_left, F.lit(1)), n_right: F.coalesce(n_right, F.lit(1))}
-        left = left.join(few, on, "left").withColumns(ones)
-        right = right.join(few, on, "left").withColumns(ones)
-
-    position = F.monotonically_increasing_id()
-    dealt = F.when(~all_present(on), F.pmod(position, F.lit(null_slices))).otherwise(
-        F.pmod(position, F.col(n_left))
-    )
-    left = left.withColumn(ls, dealt.cast("int")).withColumn(
-        rs, F.explode(F.sequence(F.lit(0), F.col(n_right) - 1))
+        left = _with_slices(left, named, on, place, wide).withColumns(ones)
+        right = _with_slices(right, named, on, place, wide).withColumns(ones)
+
+    dealt = F.when(~all_present(on), F.pmod(place, F.lit(null_slices))).otherwise(F.pmod(place, n_left))
+    left = (
+        left.withColumn(ls, dealt.cast("int"))
+        .withColumn(rs, F.explode(F.sequence(F.lit(0), F.col(n_right) - 1)))
+        .drop(place)
     )
     right = (
-        right.withColumn(rs, F.pmod(position, F.col(n_right)).cast("int"))
+        right.withColumn(rs, F.pmod(place, n_right).cast("int"))
         .withColumn(ls, F.explode(F.sequence(F.lit(0), F.col(n_left) - 1)))
         .withColumn(hit, F.lit(True))
-        .drop(n_left, n_right)
+        .drop(n_left, n_right, place)
     )
     joined = left.join(right, [*on, ls, rs], how)
     if how == "left":
