@@ -186,3 +186,21 @@ def test_catalog(spark, tmp_path):
         collect_parquet_files(spark, root + "/none")
     sizes = file_catalog(spark, root).groupBy().sum("size").first()[0]
     assert sizes == 30
+
+
+def test_sources_are_named_once_for_each_file(spark, tmp_path, monkeypatch):
+    """Equal names in two folders, and names that paths escape; rows only look their source up."""
+    from varloom.functions import source_id
+    from varloom.plans import jobs
+
+    paths = [str(tmp_path / a / b) for a, b in (("x", "s.parquet"), ("y", "s.parquet"), ("z", "one two 100%.parquet"))]
+    for i, path in enumerate(paths):
+        spark.range(5).select(F.lit(str(i)).alias("n"), F.lit("SNV").alias("tsa"), F.lit("A").alias("alt")).repartition(2).write.parquet(path)
+    seen = []
+    monkeypatch.setattr(jobs, "split_pending", lambda df, out, **options: seen.append(df) or [])
+    jobs.split_existing(spark, paths, str(tmp_path / "out"))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan
+    of = lambda p: spark.createDataFrame([("file://" + p,)], "p string").select(source_id("p")).first()[0]
+    names = ["s", "s", "one two 100%"]
+    assert rows(seen[0], "n", "source_file", "source_id") == sorted((str(i), names[i], of(p)) for i, p in enumerate(paths) for _ in range(5))

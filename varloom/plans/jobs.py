@@ -286,7 +286,10 @@ def split_pending(
     spark = df.sparkSession
     by = [c for c in (SOURCE_COLUMN, SOURCE_ID) if c in df.columns]
     keyed = df.withColumn(_SOURCE, F.concat_ws("/", *by))
-    expected = expected_splits(keyed, type_column, _SOURCE)
+    # A row per source and type, read for what is missing and again for the check.
+    stored = scratch_dir(spark, "expected_splits")
+    expected_splits(keyed, type_column, _SOURCE).write.parquet(stored)
+    expected = spark.read.parquet(stored)
     columns = f"{out.rstrip('/')}/{SPLIT_COLUMNS}"
     shape = df.schema.simpleString()
     if path_exists(spark, columns) and spark.read.text(columns).filter(F.col("value") == shape).isEmpty():
@@ -299,7 +302,7 @@ def split_pending(
     sources = sorted(r[0] for r in todo.collect())
     if sources:
         wanted = spark.createDataFrame([(s,) for s in sources], f"{_SOURCE} string")
-        part = keyed.join(wanted, _SOURCE, "left_semi").drop(_SOURCE)
+        part = keyed.join(F.broadcast(wanted), _SOURCE, "left_semi").drop(_SOURCE)
         rows = split_variants(part, explode_snv_alt, type_column, snv_types)
         write_split(rows, out, [type_column, *by], layout, replace_partitions=True)
         spark.createDataFrame([(shape,)], "value string").coalesce(1).write.mode("overwrite").text(columns)
@@ -331,16 +334,23 @@ def split_existing(
 ) -> list[str]:
     """Split Parquet files by variant type; paths that are not Parquet are left out.
 
-    Files and folders of one name are told apart by their paths.
+    Files and folders of one name are told apart by their paths.  Sources are named once for each file, in a table that
+    is joined to the rows.
     """
     paths = [parquet_paths] if isinstance(parquet_paths, str) else list(parquet_paths)
     paths = [p for p in paths if p.rstrip("/").endswith(".parquet")]
     if not paths:
         return []
-    # A written dataset is a folder, and its name is the name of the source.
-    dataset = F.regexp_extract(percent_decoded("_metadata.file_path"), r"^(.*?/[^/]*\.parquet)(?:/|$)", 1)
     df = spark.read.parquet(*paths)
-    df = df.select("*", stem(dataset).alias(SOURCE_COLUMN), source_id(dataset).alias(SOURCE_ID))
+    # A written dataset is a folder, and its name is the name of the source.
+    dataset = F.regexp_extract(percent_decoded("_file"), r"^(.*?/[^/]*\.parquet)(?:/|$)", 1)
+    files = df.select(F.col("_metadata.file_path").alias("_file")).distinct()
+    named = scratch_dir(spark, "split_sources")
+    files.select("_file", dataset.alias("_dataset")).write.parquet(named)
+    sources = spark.read.schema("_file string, _dataset string").parquet(named)
+    sources = sources.select("_file", stem("_dataset").alias(SOURCE_COLUMN), source_id("_dataset").alias(SOURCE_ID))
+    # One row per input file.
+    df = df.select("*", F.col("_metadata.file_path").alias("_file")).join(F.broadcast(sources), "_file").drop("_file")
     return split_pending(df, out, **options)
 
 
