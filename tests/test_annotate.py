@@ -257,3 +257,15 @@ def test_heavy_keys_beyond_the_broadcast_do_not_reach_the_driver(spark, monkeypa
     monkeypatch.undo()
     expected = [r for r in brute_force(left_rows, right_rows) if how == "left" or r[2] is not None]
     assert rows(df, "k", "v", "w") == expected
+
+
+def test_semi_without_a_bound_takes_any_number_of_rows(left, right, monkeypatch):
+    """More left rows than hashes are broadcast for: the whole table is annotated, by the same strategy."""
+    import sys
+
+    monkeypatch.setattr(sys.modules["varloom.operators.annotate"], "SEMI_MAX_ROWS", 2)
+    for rows_per_slice in (1, 1000):
+        df = op.annotate(left, right, strategy="semi", semi_max_rows=None, rows_per_slice=rows_per_slice)
+        assert rows(df) == sorted(EXPECTED, key=repr)
+    reduced = op.semi_reduce(right.select("id", "score", *KEYS), left, KEYS, None)
+    assert reduced.columns == ["id", "score", *KEYS] and rows(reduced, "id") == [("rs1",), ("rs2",)]

@@ -47,7 +47,7 @@ def semi_reduce(
     reference: DataFrame,
     left: DataFrame,
     on: Sequence[str],
-    max_rows: int = SEMI_MAX_ROWS,
+    max_rows: int | None = SEMI_MAX_ROWS,
     rows: int | None = None,
 ) -> DataFrame:
     """Reference rows whose key may occur on the left, found without shuffling the reference.
@@ -55,10 +55,16 @@ def semi_reduce(
     The distinct 64-bit hashes of the left keys are broadcast.  ``rows`` is the number of left rows, counted when
     it is not given; more than ``max_rows`` raise.  Keys must have the same types on both sides.  A reference row
     that shares only the hash passes too, and is sorted out by the join that follows.
+
+    ``max_rows=None`` takes any number of left rows.  Beyond ``SEMI_MAX_ROWS`` their distinct keys then meet the
+    reference in a shuffle by the keys, and the join that follows finds it dealt that way.
     """
     rows = left.count() if rows is None else rows
-    if rows > max_rows:
+    if max_rows is not None and rows > max_rows:
         raise ValueError(f"{rows} left rows are too many to broadcast their keys; semi_max_rows is {max_rows}")
+    if max_rows is None and rows > SEMI_MAX_ROWS:
+        keys = left.filter(all_present(on)).select(*on).distinct()
+        return reference.join(keys, list(on), "left_semi").select(*reference.columns)
     hashed = F.xxhash64(*on).alias("_key_hash")
     wanted = left.filter(all_present(on)).select(hashed).distinct()
     return (
@@ -85,7 +91,7 @@ def annotate(
     strip_chr_prefix: bool = False,
     explode_alt: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
-    semi_max_rows: int = SEMI_MAX_ROWS,
+    semi_max_rows: int | None = SEMI_MAX_ROWS,
     semi_min_ratio: float = SEMI_MIN_RATIO,
     bloom_max_bytes: int = FILTER_BYTES,
     left_rows: int | None = None,
@@ -104,7 +110,8 @@ def annotate(
     * ``"semi"`` broadcasts hashes of the left keys, reduces the reference to its hits where it is
       read, and joins only those.  The reference is never shuffled.  Right for a sample against a
       reference dataset.  A left table of more than ``semi_max_rows`` rows, or one whose key types differ from
-      those of the reference, raises.
+      those of the reference, raises.  With ``semi_max_rows=None`` no length raises: the keys of left tables of more
+      than ``SEMI_MAX_ROWS`` rows reduce the reference in a shuffle.
     * ``"bloom"`` broadcasts a Bloom filter of the left keys of at most ``bloom_max_bytes``, for cohorts whose hashes
       are too many.  Only reference rows that pass it are shuffled.  A left table that is too long for the filter, or
       one with other key types, raises.
@@ -155,7 +162,7 @@ def annotate(
     theirs = reference_rows
     if strategy == "auto":
         strategy = "direct"
-        fits = "semi" if rows <= semi_max_rows else "bloom" if filter_segments(rows, bloom_max_bytes) else None
+        fits = "semi" if rows <= (SEMI_MAX_ROWS if semi_max_rows is None else semi_max_rows) else "bloom" if filter_segments(rows, bloom_max_bytes) else None
         if same_types and fits:
             theirs = reference.count() if theirs is None else theirs
             strategy = fits if theirs >= semi_min_ratio * rows else "direct"

@@ -103,7 +103,7 @@ def annotate_left_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(t.WITH_SQL + LEFT_ROWS_SQL)
 def annotate_semi_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     v, r = t.variants(spark, sf_dir), t.reference(spark, sf_dir)
-    return counted(op.annotate(v, r, strategy="semi", unique_reference=True))
+    return counted(op.annotate(v, r, strategy="semi", unique_reference=True, semi_max_rows=None))
 
 
 @query(t.WITH_SQL + LEFT_ROWS_SQL)
