@@ -98,3 +98,25 @@ def test_query_finds_all_whole_copies(spark):
     got = {(r.doc_id, r.item_id): r.score for r in QUERIES["op7_decontamination"](spark, d).collect()}
     whole = {(i, j) for i, t in docs for j, x in items if f" {' '.join(words(x))} " in f" {' '.join(words(t))} "}
     assert whole and whole <= set(got) and all(got[k] == 1 for k in whole)
+
+
+def test_words_and_pairs_are_counted_in_every_text(spark, monkeypatch):
+    """The frequencies that choose the seeds are those of all texts, joined or broadcast."""
+    rng, count, seen = random.Random(11), dec.gram_counts, []
+    docs = [(i, " ".join(rng.choice("abcde") for _ in range(30))) for i in range(40)]
+    d = spark.createDataFrame([*docs, (99, None), (None, "a b")], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
+
+    def counted(*args):
+        seen.append(sorted(r.n for r in count(*args).collect()))
+        return count(*args)
+
+    monkeypatch.setattr(dec, "gram_counts", counted)
+    texts = [t.split() for _, t in docs]
+    item = "a b c d e".split()
+    grams = [(w,) for w in item] + list(zip(item, item[1:]))
+    want = [sum(tuple(t[i : i + len(g)]) == g for t in texts for i in range(len(t) - len(g) + 1)) for g in grams]
+    for limit in (1 << 20, 0):
+        monkeypatch.setattr(dec, "BROADCAST_BYTES", limit)
+        dec.contamination(d, b)
+    assert seen == [sorted(want), sorted(want)]

@@ -22,8 +22,6 @@ from .text import LOWER, Words, flat, hand_back, rolling, signed, slices
 SEED = 3
 #: Places of seeds that a stretch must hold, or as many as the item's score asks for.
 NEED = 3
-#: One text in this many is read to see how frequent words and pairs are.
-SAMPLE = 8
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Least alignment score of a hit, as a share of the item aligned with itself.
 LEAST = 0.5
@@ -283,8 +281,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, least
     )
     of_item = kept(of_item.groupBy("item", "need", "room", "width", "gram").agg(F.count("*").alias("times")), "grams")
     sizes = sorted({1, 2, *range(1, seed)})
-    some = texts.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0)
-    spread = gram_counts(some, kept(of_item.select("gram").distinct(), "distinct_grams"), sizes)
+    spread = gram_counts(texts, kept(of_item.select("gram").distinct(), "distinct_grams"), sizes)
     counted = of_item.join(spread, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     often = Window.partitionBy("item").orderBy(F.col("n").desc(), "gram").rowsBetween(Window.unboundedPreceding, 0)
     seeds = counted.withColumn("more", F.sum("times").over(often)).where("more > room")
