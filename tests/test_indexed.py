@@ -99,3 +99,17 @@ def test_rows_in_overlapping_regions_occur_once(spark):
     df = spark.createDataFrame([("1", 5), ("1", 5), ("1", 20_000), ("2", 5), (None, 5), ("1", None)], "chrom string, start long")
     regions = spark.createDataFrame([("1", 1, 10), ("1", 5, 30_000), ("1", 5, 5)], REGIONS)
     assert rows(within_regions(df, regions)) == [("1", 20_000), ("1", 5), ("1", 5)]
+
+
+def test_lines_are_made_once(spark, tmp_path):
+    """Counting, choosing the ranges and dealing read a stored copy of the lines."""
+    made = spark.sparkContext.accumulator(0)
+
+    def make(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    text = spark.createDataFrame([(x,) for x in lines(3000)], "value string").mapInArrow(make, "value string")
+    done = write_indexed_vcf(text, str(tmp_path / "once"), HEADER, rows_per_file=1000)
+    assert done.agg(F.sum("n_rows")).first()[0] == made.value == 3000

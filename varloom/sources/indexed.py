@@ -194,6 +194,7 @@ def write_indexed_vcf(
 
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         def member(data):
@@ -235,6 +236,7 @@ def write_indexed_vcf(
             linear = np.maximum.accumulate(linear)
             return b"".join(out) + struct.pack("<i", len(linear)) + linear.astype("<u8").tobytes()
 
+        kind = pa.large_string()
         batches = (b for b in batches if b.num_rows)
         first = next(batches, None)
         if first is None:
@@ -257,25 +259,27 @@ def write_indexed_vcf(
 
             batch = first
             while batch is not None:
-                for name in batch.column("chrom").to_pylist():
-                    if not names or names[-1] != name:
-                        names.append(name)
-                    codes.append(len(names) - 1)
-                lows.append(batch.column("low").to_numpy())
-                highs.append(batch.column("high").to_numpy())
-                for line in batch.column("value").to_pylist():
-                    data = line.encode() + b"\n"
-                    sizes.append(len(data))
-                    pending += data
-                    if len(pending) >= 16 * block:
-                        flush(block)
+                coded = batch.column("chrom").dictionary_encode()
+                # Rows are sorted, so a batch begins with the last name of the one before, or with a new one.
+                found = coded.dictionary.to_pylist()
+                names += found[1:] if names and names[-1] == found[0] else found
+                codes.append(coded.indices.to_numpy() + len(names) - len(found))
+                low, n, last = (batch.column(c).to_numpy() for c in ("low", "n", "last"))
+                lows.append(low)
+                highs.append(np.maximum(low, np.where(last < 0, low + n, last) - 1))
+                value = pc.binary_join_element_wise(batch.column("value").cast(kind), pa.scalar("", kind), pa.scalar("\n", kind))
+                offsets = np.frombuffer(value.buffers()[1], np.int64, len(value) + 1, 8 * value.offset)
+                sizes.append(np.diff(offsets))
+                pending += memoryview(value.buffers()[2])[offsets[0] : offsets[-1]]
+                if len(pending) >= 16 * block:
+                    flush(block)
                 batch = next(batches, None)
             flush(1)
             places.append(at)
             f.write(member(b""))
-        low, high, code = np.concatenate(lows), np.concatenate(highs), np.array(codes)
-        ends = len(head) + np.cumsum(sizes)
-        begins = ends - sizes
+        low, high, code, size = (np.concatenate(c) for c in (lows, highs, codes, sizes))
+        ends = len(head) + np.cumsum(size)
+        begins = ends - size
 
         def place(offset):
             return (np.array(places)[offset // block] << 16) + offset % block
@@ -292,14 +296,23 @@ def write_indexed_vcf(
             for i in range(0, len(data), block):
                 f.write(member(data[i : i + block]))
             f.write(member(b""))
-        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([len(sizes)], pa.int64())], names=["path", "n_rows"])
+        yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([len(size)], pa.int64())], names=["path", "n_rows"])
 
     cells = F.split("value", "\t", 9)
-    last = F.regexp_extract(F.concat(F.lit(";"), cells[7]), r";END=(\d+)", 1).try_cast("bigint")
-    placed = lines.select("value", cells[0].alias("chrom"), (cells[1].cast("bigint") - 1).alias("low"), F.length(cells[3]).alias("n"), last.alias("last"))
-    high = F.greatest(F.col("low"), F.coalesce(F.col("last"), F.col("low") + F.col("n")) - 1)
-    ranged = placed.select("value", "chrom", "low", high.alias("high"))
-    tasks = max(1, -(-lines.count() // rows_per_file))
+    # ``END`` is sought only where it can stand; the end of the rest follows from the length of the reference allele.
+    last = F.when(F.col("value").contains("END="), F.regexp_extract(F.concat(F.lit(";"), cells[7]), r";END=(\d+)", 1).try_cast("bigint"))
+    placed = lines.select(
+        "value",
+        cells[0].alias("chrom"),
+        (cells[1].cast("bigint") - 1).alias("low"),
+        F.length(cells[3]).cast("bigint").alias("n"),
+        F.coalesce(last, F.lit(-1).cast("bigint")).alias("last"),
+    )
+    # The lines are made and cut once; counting, choosing the ranges and dealing read what is stored.
+    stored = scratch_dir(spark, "placed_lines")
+    placed.write.parquet(stored)
+    ranged = spark.read.schema(placed.schema).parquet(stored)
+    tasks = max(1, -(-ranged.count() // rows_per_file))
     ranged = ranged.repartitionByRange(tasks, "chrom", "low", "value").sortWithinPartitions("chrom", "low")
     written = ranged.mapInArrow(write, "path string, n_rows bigint")
     # Once: the frame that is returned must not write again.
