@@ -269,3 +269,17 @@ def test_semi_without_a_bound_takes_any_number_of_rows(left, right, monkeypatch)
         assert rows(df) == sorted(EXPECTED, key=repr)
     reduced = op.semi_reduce(right.select("id", "score", *KEYS), left, KEYS, None)
     assert reduced.columns == ["id", "score", *KEYS] and rows(reduced, "id") == [("rs1",), ("rs2",)]
+
+
+def test_buckets_grow_with_the_reference(spark, right, tmp_path, monkeypatch):
+    from varloom.plans import build_bucketed_reference, jobs
+
+    monkeypatch.setattr(jobs, "ROWS_PER_BUCKET", 100)
+    known = spark.range(2_000).select(F.lit("1").alias("chrom"), F.col("id").alias("start"), F.lit("A").alias("ref"), F.lit("C").alias("alt"))
+    for name, df, buckets in (("many_rows", known, 20), ("few_rows", right, jobs.LEAST_BUCKETS)):
+        build_bucketed_reference(df, name, None, path=str(tmp_path / name))
+        try:
+            assert f"{buckets} buckets" in spark.sql(f"DESCRIBE EXTENDED {name}").selectExpr("concat(data_type, ' buckets') AS b", "col_name").where("col_name = 'Num Buckets'").first()["b"]
+            assert rows(spark.table(name)) == rows(df)
+        finally:
+            spark.sql(f"DROP TABLE {name}")

@@ -44,6 +44,10 @@ VERSION = "info_version"
 NO_FIELDS = "000000"
 _SOURCE = "_source"
 
+#: Reference rows of a bucket, and the fewest buckets of a reference whose number of them is not given.
+ROWS_PER_BUCKET = 500_000
+LEAST_BUCKETS = 8
+
 
 def save_annotated(df: DataFrame, out: str | None, compression: str = "zstd") -> str:
     """Write an annotated table as Parquet and return its path."""
@@ -365,13 +369,20 @@ def build_reference(
 
 
 def build_bucketed_reference(
-    df: DataFrame, table: str, buckets: int, on: Sequence[str] = KEYS, path: str | None = None
+    df: DataFrame, table: str, buckets: int | None, on: Sequence[str] = KEYS, path: str | None = None
 ) -> None:
     """Write a reference as a table bucketed and sorted by the join keys.
 
     Joins of large variant tables on exactly these keys then shuffle only their own side.  The rows are
-    gathered by bucket first, so a bucket is one file; the catalog of the session keeps the table.
+    gathered by bucket first, so a bucket is one file; the catalog of the session keeps the table.  A task of a join
+    takes one bucket: ``buckets=None`` makes as many as keep it at ``ROWS_PER_BUCKET`` rows, and ``LEAST_BUCKETS``.
     """
+    if buckets is None:
+        # Counted from a stored copy, so that what makes the rows runs once.
+        stored = scratch_dir(df.sparkSession, "bucketed_rows")
+        df.write.parquet(stored)
+        df = df.sparkSession.read.schema(df.schema).parquet(stored)
+        buckets = max(LEAST_BUCKETS, -(-df.count() // ROWS_PER_BUCKET))
     writer = (
         df.repartition(buckets, *on).write.mode("overwrite").bucketBy(buckets, *on).sortBy(*on).option("compression", "zstd")
     )

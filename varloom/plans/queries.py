@@ -323,7 +323,7 @@ def annotate_bucketed_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A reference stored by buckets of the keys: the join shuffles the left table only."""
     out = scratch_dir(spark, "bucketed_reference")
     name = "varloom_" + out.rsplit("-", 1)[1]
-    jobs.build_bucketed_reference(t.reference(spark, sf_dir), name, 8, path=out)
+    jobs.build_bucketed_reference(t.reference(spark, sf_dir), name, None, path=out)
     known = spark.table(name)
     return counted(op.annotate(t.variants(spark, sf_dir), known, strategy="direct", unique_reference=True))
 
