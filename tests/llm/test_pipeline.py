@@ -1,3 +1,5 @@
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -64,6 +66,28 @@ def test_contaminated_documents(steps):
         assert (i in after) == (not contaminated(text))
 
 
+def test_decontamination_counts_words_and_pairs_in_every_document(spark, steps, monkeypatch):
+    """The frequencies that choose the seeds are those of all documents that reach the stage, joined or broadcast."""
+    count, seen = dec.gram_counts, []
+
+    def counted(*args):
+        out = count(*args)
+        seen.append(sorted(r.n for r in out.collect()))
+        return out
+
+    def grams(x, sizes):
+        return [g for n in sizes for g in zip(*(x[k:] for k in range(n)))]
+
+    monkeypatch.setattr(dec, "gram_counts", counted)
+    items = [words(t) for _, t in duckdb.sql(f"SELECT item_id, text FROM '{SF_DIR}/benchmark.parquet'").fetchall()]
+    wanted = {g for x in items for g in grams(x, (1, 2) if len(x) >= dec.SEED else (len(x),))}
+    want = Counter(g for _, t in texts(steps[3]) for g in grams(words(t), (1, 2)) if g in wanted)
+    for limit in (dec.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(dec, "BROADCAST_BYTES", limit)
+        corpus_pipeline.drop_contaminated(spark, steps[3], SF_DIR)
+    assert want and seen == [sorted(want.values())] * 2
+
+
 def test_pieces(steps):
     rows = {r.doc_id: r for r in steps[5].collect()}
     docs = dict(texts(steps[4]))
